@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import spelling_groups, tokenize, vector_graph
+from textloom.llm import spelling_groups, tokenize, url_index, vector_graph
 from textloom.session import table
 
 
@@ -16,6 +16,10 @@ def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return spelling_groups.collapsed(table(spark, d, "raw_node"), table(spark, d, "raw_triplet"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return url_index.found(table(spark, d, "custom_query_pdf"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return vector_graph.found(table(spark, d, "clustered_node"), table(spark, d, "clustered_edge"))
 
@@ -27,6 +31,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p8_ids": p8_ids,
 }
