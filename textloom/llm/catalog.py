@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import spelling_groups, tokenize, url_index, vector_graph
+from textloom.llm import spam_pages, spelling_groups, tokenize, url_index, vector_graph
 from textloom.session import table
 
 
@@ -28,12 +28,17 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, d, "documents"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam_pages.found(table(spark, d, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p8_ids": p8_ids,
+    "p10_found": p10_found,
 }
 
 SQL: dict[str, str] = {}
