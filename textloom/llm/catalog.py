@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import spam_pages, spelling_groups, tokenize, url_index, vector_graph
+from textloom.llm import garbled_text, spam_pages, spelling_groups, tokenize, url_index, vector_graph
 from textloom.session import table
 
 
@@ -24,6 +24,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return vector_graph.found(table(spark, d, "clustered_node"), table(spark, d, "clustered_edge"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return garbled_text.found(table(spark, d, "chunk"), table(spark, d, "sentence"))
+
+
+def p5_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garbled_text.restored(table(spark, d, "chunk"), table(spark, d, "sentence"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, d, "documents"))
 
@@ -37,6 +45,8 @@ QUERIES = {
     "p1_collapsed": p1_collapsed,
     "p3_found": p3_found,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_restored": p5_restored,
     "p8_ids": p8_ids,
     "p10_found": p10_found,
 }
