@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import garbled_text, spam_pages, spelling_groups, tokenize, url_index, vector_graph
+from textloom.llm import garbled_text, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
 from textloom.session import table
 
 
@@ -32,6 +32,10 @@ def p5_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled_text.restored(table(spark, d, "chunk"), table(spark, d, "sentence"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.found(table(spark, d, "chunk"), table(spark, d, "sentence"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, d, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_restored": p5_restored,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p10_found": p10_found,
 }
