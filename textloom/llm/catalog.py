@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import garbled_text, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
+from textloom.llm import garbled_text, languages, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
 from textloom.session import table
 
 
@@ -32,6 +32,14 @@ def p5_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled_text.restored(table(spark, d, "chunk"), table(spark, d, "sentence"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.found(table(spark, d, "chunk"), table(spark, d, "raw_graph"))
+
+
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    return languages.segments(table(spark, d, "chunk"), table(spark, d, "raw_graph"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.found(table(spark, d, "chunk"), table(spark, d, "sentence"))
 
@@ -51,6 +59,8 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_restored": p5_restored,
+    "p6_found": p6_found,
+    "p6_segments": p6_segments,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p10_found": p10_found,
