@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import garbled_text, languages, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
+from textloom.llm import garbled_text, languages, scanned_text, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
 from textloom.session import table
 
 
@@ -16,6 +16,14 @@ def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return spelling_groups.collapsed(table(spark, d, "raw_node"), table(spark, d, "raw_triplet"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return scanned_text.found(table(spark, d, "chunk"), table(spark, d, "raw_graph"), table(spark, d, "sentence"))
+
+
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scanned_text.repaired(table(spark, d, "chunk"), table(spark, d, "raw_graph"), table(spark, d, "sentence"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return url_index.found(table(spark, d, "custom_query_pdf"))
 
@@ -55,6 +63,8 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
+    "p2_found": p2_found,
+    "p2_repaired": p2_repaired,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p5_found": p5_found,
