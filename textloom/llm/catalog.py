@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import garbled_text, languages, scanned_text, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
-from textloom.session import table
+from textloom.llm import garbled_text, languages, mixing, scanned_text, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
+from textloom.session import materialize, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -56,6 +56,15 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, d, "documents"))
 
 
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.queue(table(spark, d, "documents"), table(spark, d, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    targets = table(spark, d, "mix_target")
+    return mixing.report(materialize(mixing.queue(table(spark, d, "documents"), targets), "mixture"), targets)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_pages.found(table(spark, d, "documents"))
 
@@ -73,6 +82,8 @@ QUERIES = {
     "p6_segments": p6_segments,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
+    "p9_mixture": p9_mixture,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
 }
 

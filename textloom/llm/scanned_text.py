@@ -107,10 +107,19 @@ def line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 first = after.split(" ")[0] if after else ""
                 early = bool(after) and len(s) + 1 + len(first) < width - 1
                 words = re.findall(r"[^\W\d_]+", body)
+                beside = PAGE.match(after) is not None
+                early = early and not beside and (len(s) <= 0.85 * width or bool(number))
+                indented = len(line) - len(line.lstrip()) >= 3
+                # a paragraph's last line ends with a stop; one that begins after a stop or within a broken word and has none is no text
+                stray = not after and bool(before) and bool(STOP.search(before) or BROKEN.search(before) or PAGE.match(before))
+                apart = not before and not after and len(words) >= 3
+                early = early or indented or stray or apart
+                if src == "raw_graph" and i == len(lines) - 1 and not shaped:
+                    title = False  # source_text may be cut off here
                 big = [w for w in words if not w[0].islower() or w.casefold() in SMALL]
                 shaped = body.upper() == body or (len(big) == len(words) and len(words) > 1)
                 key = shape_key(re.sub(r"[\W\d_]+", "", body))
-                out.append((src, rec, graph, i, line, page, title, key, bool(number and title), early and title, not before and not after, shaped))
+                out.append((src, rec, graph, i, line, page, title, key, bool(number and title), early and title, not before and not after and not apart and not indented, shaped))
         yield pd.DataFrame(out, columns=names)
 
 
@@ -120,7 +129,9 @@ LINES = "src string, rec_id bigint, graph_id bigint, line_no int, line string, p
 def classified_lines(records: DataFrame) -> DataFrame:
     """(src, rec_id, line_no, line, kind): kind is header, page or null."""
     lines = materialize(records.mapInPandas(line_rows, LINES), "scan-lines")
-    titles = lines.where("title").groupBy("graph_id", "key").agg(F.count("*").alias("n"), F.sum(F.expr("if(numbered or not alone, 1, 0)")).alias("placed"))
+    # source_text repeats the beginning of the chunks, so a title is counted in one of both
+    titles = lines.where("title").groupBy("graph_id", "key", "src").agg(F.count("*").alias("n"), F.sum(F.expr("if(numbered or not alone, 1, 0)")).alias("placed"))
+    titles = titles.groupBy("graph_id", "key").agg(F.max("n").alias("n"), F.max("placed").alias("placed"))
     joined = lines.join(titles, ["graph_id", "key"], "left")
     recurs = (F.col("n") >= 3) | ((F.col("n") >= 2) & (F.col("placed") >= 1) & (F.col("early") | F.col("alone") | F.col("shaped") | F.col("numbered")))
     header = F.col("title") & (F.col("numbered") | recurs | (~F.col("alone") & (F.col("shaped") | F.col("early"))))
