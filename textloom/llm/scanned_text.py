@@ -114,10 +114,10 @@ def line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 stray = not after and bool(before) and bool(STOP.search(before) or BROKEN.search(before) or PAGE.match(before))
                 apart = not before and not after and len(words) >= 3
                 early = early or indented or stray or apart
-                if src == "raw_graph" and i == len(lines) - 1 and not shaped:
-                    title = False  # source_text may be cut off here
                 big = [w for w in words if not w[0].islower() or w.casefold() in SMALL]
                 shaped = body.upper() == body or (len(big) == len(words) and len(words) > 1)
+                if src == "raw_graph" and i == len(lines) - 1 and not (shaped or number):
+                    title = False  # source_text may be cut off here
                 key = shape_key(re.sub(r"[\W\d_]+", "", body))
                 out.append((src, rec, graph, i, line, page, title, key, bool(number and title), early and title, not before and not after and not apart and not indented, shaped))
         yield pd.DataFrame(out, columns=names)
