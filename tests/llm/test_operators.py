@@ -1,0 +1,157 @@
+"""Each operator against brute force, an exact round trip or planted cases."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from textloom.llm import garbled_text, languages, mixing, scanned_text, sentences, spam_pages, spelling_groups, tokenize, url_index, vector_graph
+
+
+def test_tokens_equal_the_library_and_round_trip(spark, data):
+    tokenizers = pytest.importorskip("tokenizers")
+    lib = tokenizers.Tokenizer.from_file(tokenize.VOCAB)
+    lib.encode_special_tokens = True
+    machine = tokenize.automaton()
+    extra = ["aaaaaaaaaaaaaaa", " <|endoftext|> don't", "\n\n  \t x", "é" * 300, "𝔘nicode 👩🏽‍🔬", " " * 70]
+    texts = [r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").where("text is not null").collect()] + extra
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert [machine.encode(t) for t in texts] == want
+    assert all(machine.decode(machine.encode(t)) == t for t in texts)
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["ids"] for r in tokenize.encode_corpus(rows).collect()} == {1: [], 2: [], 3: lib.encode("a b").ids}
+    long = "слово word " * 40_000
+    coded = tokenize.encode_corpus(spark.createDataFrame([(1, long)], "doc_id bigint, text string"))
+    assert tokenize.decode_corpus(coded).first()["text"] == long
+
+
+def test_spelling_groups_equal_brute_force(spark, data):
+    nodes = spark.read.parquet(f"{data}/raw_node.parquet")
+    triplets = spark.read.parquet(f"{data}/raw_triplet.parquet")
+    first, want = {}, set()
+    for r in sorted(nodes.collect(), key=lambda r: r["node_id"]):
+        key = (r["graph_id"], spelling_groups.canonical(r["label"]))
+        if key[1] and first.setdefault(key, r["node_id"]) != r["node_id"]:
+            want.add(("node", first[key], r["node_id"]))
+    for r in sorted(triplets.collect(), key=lambda r: r["triplet_id"]):
+        ends = sorted(spelling_groups.canonical(r[c]) or "" for c in ("subject", "object"))
+        key = (r["graph_id"], r["relation"], *ends)
+        if all(ends) and first.setdefault(key, r["triplet_id"]) != r["triplet_id"]:
+            want.add(("triplet", first[key], r["triplet_id"]))
+    assert {tuple(r) for r in spelling_groups.found(nodes, triplets).collect()} == want
+    same = spelling_groups.canonical
+    assert same("B; a­a") == same("AA / b") and same("é") == same("é") != same("e") and same(" .,") is None
+
+
+def test_hot_label_is_one_group(spark):
+    nodes = spark.range(3000).select(F.col("id").alias("node_id"), F.lit(1).cast("bigint").alias("graph_id"), F.when(F.col("id") % 3 == 0, "Hot label").otherwise(F.concat(F.lit("l"), F.col("id"))).alias("label"))
+    got = spelling_groups.later_copies(spelling_groups.encoded_nodes(nodes), ["graph_id", "code"], "rec_id")
+    assert got.count() == 999 and got.select("first_id").distinct().count() == 1
+
+
+URLS = [
+    (1, "https://preprints.example/pdf/2101.00000001v2"), (2, " HTTP://WWW.preprints.example:80//pdf/2101.00000001.pdf#arxiv"), (3, "https://preprints.example/pdf/2101.000000011"),
+    (4, "https://reader.example/doi/pdf/10.99999/Kel.1"), (5, "<https://reader.example/fetch?download=1&amp;doi=10.99999%2FKEL.1>,"), (6, "https://reader.example/doi/pdf/10.99999/kel.1.s1"),
+    (7, "https://journals-ru.example/article/n/metod-prava-i-tekst-20/pdf"), (8, "https://journals-ru.example/article/n/metod-prva-i-teksst-20.pdf"), (9, "https://journals-ru.example/article/n/metod-prava-i-tekst-20-1/pdf"),
+    (10, "https://a.example/bitstream/1/2/3/04_title.pdf"), (11, "https://a.example/bitstream/1/2/3/24_title.pdf"), (12, None), (13, "about:blank"), (14, "NA"), (15, "")]
+
+
+def test_urls_in_one_batch_and_in_several(spark):
+    rows = spark.createDataFrame([(i, u, i % 5) for i, u in URLS], "id bigint, pdf_url string, batch_no bigint")
+    ordered = rows.withColumn("batch_no", F.col("id"))
+    want = {(1, 2), (4, 5), (7, 8)}
+    assert {tuple(r) for r in url_index.found(ordered).collect()} == want
+    assert {tuple(r) for r in url_index.found(ordered, steps=1).collect()} == want
+    index = url_index.UrlIndex(spark)
+    assert {tuple(r) for r in index.accept(ordered.where("id <= 4")).collect()} == {(1, 2)}
+    assert {tuple(r) for r in index.accept(ordered.where("id > 4").unionByName(ordered.where("id > 4"))).collect()} == {(4, 5), (7, 8)}
+
+
+def test_vectors_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 96))
+    v = (np.repeat(base, 20, axis=0) + 0.4 * rng.normal(size=(1200, 96))).astype(np.float32)
+    v[100:130] = v[100]
+    rows = [(i, v[i].tolist()) for i in range(1200)] + [(2000, None), (2001, []), (2002, [0.0] * 96), (2003, [1.0] * 48), (2004, [float("nan")] * 96)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<float>").select(F.lit("x").alias("src"), "id", "vec").where(vector_graph.usable("vec"))
+    got = {(r["id"], r["near_id"]) for r in vector_graph.similar_vectors(df).collect()}
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    s = np.round(u @ u.T, 6)
+    np.fill_diagonal(s, -9)
+    want = {(i, int(j)) for i in range(1200) for j in np.argsort(-s[i], kind="stable")[:5] if s[i, j] >= 0.7}
+    assert len(got & want) >= 0.98 * len(want) and len(got & want) >= 0.98 * len(got)
+    assert {j for i, j in got if i == 115} == {100, 101, 102, 103, 104}
+
+
+def test_garbled_words_are_found_and_restored(spark, data):
+    text = "Формальный закон описывает редкий прибор"
+    clean = [(k, "text", f"{text} {k}") for k in range(5)] + [(10, "text", "naïve “café” – 5"), (11, "text", "ok")]
+    bad = [(20, text.encode().decode("cp1251", "replace")), (21, text.encode("cp1251").decode("latin-1")), (22, "na" + "ï".encode().decode("cp1252") + "ve"), (23, text.encode("koi8-r").decode("cp1251"))]
+    good = [(30, text), (31, "São SÃO Ђурађ § ©"), (32, ""), (33, None), (34, "Why?? plain")]
+    chunk = spark.createDataFrame([(k, o, t) for k, o, t in clean] + [(k, "legacy", t) for k, t in bad + good], "chunk_id bigint, origin string, text string")
+    empty = spark.createDataFrame([], "sentence_id bigint, origin string, text string")
+    assert sorted(r["rec_id"] for r in garbled_text.found(chunk, empty).collect()) == [20, 21, 22, 23]
+    fixed = {r["rec_id"]: r["text"] for r in garbled_text.restored(chunk, empty).collect()}
+    assert fixed[21] == text and fixed[23] == text and fixed[22] == "naïve"
+
+
+def test_sentences_of_plain_cases():
+    model = sentences.Model([("close", "latn", "Dr", 0, 50), ("close", "latn", "now", 40, 60), ("close", "latn", "<none>", 1, 1)])
+    parts = lambda t: [t[a:b] for a, b in sentences.split_text(t, model)]
+    assert parts("Title\n\nDr. May left now. “It broke. Nobody knew,” he said.") == ["Title", "Dr. May left now.", "“It broke. Nobody knew,” he said."]
+    assert parts("价格下降了。“为什么？”他问道。") == ["价格下降了。", "“为什么？”他问道。"]
+    assert parts("") == parts("  \n\n ") == sentences.split_text(None, model) == []
+    assert parts("— Закон? Да никогда! — сказал он. Новый день.") == ["— Закон? Да никогда! — сказал он.", "Новый день."]
+    long = "Now it works now. " * 3000
+    assert len(parts(long)) == 3000
+
+
+def test_sentences_split_joined_rows(spark, data):
+    rows = sentences.corpus(spark.read.parquet(f"{data}/chunk.parquet"), spark.read.parquet(f"{data}/sentence.parquet"))
+    model = sentences.fit(rows.select("text"))
+    singles = [r["text"].strip() for r in rows.where("src = 'sentence'").collect() if r["text"].strip() and len(sentences.split_text(r["text"], model)) == 1 and r["text"].strip()[-1] in ".!?"]
+    lot = random.Random(5)
+    right = total = 0
+    for _ in range(100):
+        pair = lot.sample(singles, 2)
+        total += 1
+        right += [" ".join(pair)[a:b] for a, b in sentences.split_text(" ".join(pair), model)] == pair
+    assert right >= 0.9 * total
+
+
+def test_language_codes_and_accuracy(spark, data):
+    df = spark.createDataFrame([("EN-us",), ("ger",), ("zho",), ("und",), ("",), (None,), (" RU ",)], "x string")
+    assert [r[0] for r in df.select(languages.label_language(F.col("x"))).collect()] == ["en", "de", "zh", None, None, None, "ru"]
+    got = languages.sentence_languages(spark.read.parquet("/root/testdata/sf0.01/chunk.parquet"), spark.read.parquet("/root/testdata/sf0.01/raw_graph.parquet"))
+    text = spark.read.parquet("/root/testdata/sf0.01/chunk.parquet").select("chunk_id", "text")
+    both = got.join(text, "chunk_id").select("lang", F.expr("substring(text, start_pos + 1, end_pos - start_pos)").alias("s")).collect()
+    telltale = [(r["lang"], "uk" if any(c in r["s"] for c in "іїєґ") else "ru") for r in both if any(c in r["s"] for c in "іїєґыэъё") and r["lang"] in ("ru", "uk")]
+    assert sum(a == b for a, b in telltale) >= 0.9 * len(telltale)
+
+
+def test_scanned_page(spark):
+    page = "16  A Survey of Narrative Protein\nThe formal index supports the narrative\ncata1yst within the same collec-\n- 17 -\ntion of large-\nscale polymers.\n\n2. Methods\n\nThe index ends here."
+    clean = ["The formal index supports the narrative catalyst within the same collection of large-scale polymers.", "The catalyst ends here."] * 3
+    chunk = spark.createDataFrame([(1, 1, "scan", page), (2, 1, "scan", ""), (3, 1, "scan", None)] + [(10 + k, 2, "text", t) for k, t in enumerate(clean)], "chunk_id bigint, graph_id bigint, origin string, text string")
+    graph = spark.createDataFrame([], "graph_id bigint, origin string, source_text string")
+    sentence = spark.createDataFrame([], "sentence_id bigint, origin string, text string")
+    assert {(r["line_no"], r["kind"]) for r in scanned_text.found(chunk, graph, sentence).collect()} == {(0, "header"), (2, "misread"), (2, "hyphen"), (3, "page")}
+    text = next(r["text"] for r in scanned_text.repaired(chunk, graph, sentence).collect() if r["rec_id"] == 1)
+    assert text == "The formal index supports the narrative catalyst within the same collection of large-scale polymers.\n\n2. Methods\n\nThe index ends here."
+
+
+def test_mixture_keeps_shares_and_caps(spark):
+    docs = spark.createDataFrame([(k, "a", "word " * 20) for k in range(200)] + [(1000 + k, "b", "word " * 20) for k in range(20)] + [(2000, "c", None), (2001, "z", "word")], "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("a", 0.6, 1), ("b", 0.3, 4), ("c", 0.05, 2), ("none", 0.05, 1)], "source string, target_share double, max_repeats int")
+    mix = mixing.queue(docs, targets)
+    used = {r["source"]: r["tokens"] for r in mixing.report(mix, targets).collect()}
+    assert abs(used["a"] / used["b"] - 2) < 0.1 and used["none"] == used["c"] == 0
+    assert mix.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 4
+    assert mix.select("doc_id", "copy").distinct().count() == mix.count()
+
+
+def test_spam_features_part_lists_from_prose(spark, data):
+    spam = ["Buy term paper | SKU A%d | SALE\n" % (10000 + k) for k in range(20)]
+    docs = spark.createDataFrame([(1, "s", "".join(spam)), (2, "s", "The model was tested in the second edition. It explains most of the cases that we know of, as the appendix shows. " * 3), (3, "s", "short"), (4, None, "http://a.example/x " * 30), (5, "s", None), (6, "s", " ")], "doc_id bigint, site string, text string")
+    assert sorted(r["doc_id"] for r in spam_pages.found(docs).collect()) == [1, 4]
