@@ -32,7 +32,8 @@ def importance(label: Column) -> Column:
     # The weights of the labels.
     named = F.when(F.lower(F.trim(label)) == "core", 1.0).when(F.lower(F.trim(label)) == "section_specific", 0.7).when(F.lower(F.trim(label)) == "supporting", 0.5).when(F.lower(F.trim(label)) == "peripheral", 0.2)
     number = label.try_cast("double")
-    return F.coalesce(named, F.least(F.greatest(number, F.lit(0.0)), F.lit(1.0)), F.lit(0.5))
+    clamped = F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(0.0)), F.lit(1.0)))
+    return F.coalesce(named, clamped, F.lit(0.5))
 
 
 def pipe_triplet(line: Column) -> Column:
