@@ -151,7 +151,13 @@ def test_mixture_keeps_shares_and_caps(spark):
     assert mix.select("doc_id", "copy").distinct().count() == mix.count()
 
 
-def test_spam_features_part_lists_from_prose(spark, data):
-    spam = ["Buy term paper | SKU A%d | SALE\n" % (10000 + k) for k in range(20)]
-    docs = spark.createDataFrame([(1, "s", "".join(spam)), (2, "s", "The model was tested in the second edition. It explains most of the cases that we know of, as the appendix shows. " * 3), (3, "s", "short"), (4, None, "http://a.example/x " * 30), (5, "s", None), (6, "s", " ")], "doc_id bigint, site string, text string")
-    assert sorted(r["doc_id"] for r in spam_pages.found(docs).collect()) == [1, 4]
+def test_spam_lists_are_told_from_prose(spark):
+    rows = []
+    for k in range(20):
+        rows.append((100 + k, "s", "".join("Buy term paper | SKU A%d | SALE\n" % (10000 + 31 * k + i) for i in range(20))))
+        rows.append((200 + k, None, " ".join(f"http://a.example/x{k}{i}" for i in range(30))))
+        rows.append((300 + k, "s", f"The model {k} was tested in the second edition. It explains most of the cases that we know of, as appendix {k} shows. " * 3))
+        rows.append((400 + k, "t", "\n".join(f"{1990 + i}\t{i * 7 + k}.5\t{i * 3}.25" for i in range(30))))
+    rows += [(3, "s", "short"), (5, "s", None), (6, "s", " "), (7, "s", "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, site string, text string")
+    assert sorted(r["doc_id"] for r in spam_pages.found(docs).collect()) == [*range(100, 120), *range(200, 220)]
