@@ -45,7 +45,7 @@ def value_dictionary(values: DataFrame) -> DataFrame:
     distinct = materialize(distinct, "canon")
     codes = distinct.select("canon").distinct().select("canon", F.monotonically_increasing_id().alias("code"))
     codes = materialize(codes, "codes")
-    return distinct.join(codes, "canon").select("value", "code")
+    return materialize(distinct.join(codes, "canon").select("value", "code"), "dictionary")
 
 
 def group_copies(records: DataFrame, keys: list[Column | str], record_id: str) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +74,7 @@ def encoded_nodes(nodes: DataFrame) -> DataFrame:
     """(rec_id, graph_id, label code)."""
     rows = nodes.select(F.col("node_id").alias("rec_id"), "graph_id", F.col("label").alias("value"))
     codes = value_dictionary(rows.select("value"))
-    return rows.join(codes, "value").select("rec_id", "graph_id", "code")
+    return materialize(rows.join(codes, "value").select("rec_id", "graph_id", "code"), "coded-nodes")
 
 
 def encoded_triplets(triplets: DataFrame) -> DataFrame:
@@ -84,7 +84,8 @@ def encoded_triplets(triplets: DataFrame) -> DataFrame:
     codes = value_dictionary(rows.select(F.explode(F.array("subject", "object"))))
     coded = rows.join(codes.select(F.col("value").alias("subject"), F.col("code").alias("s")), "subject")
     coded = coded.join(codes.select(F.col("value").alias("object"), F.col("code").alias("o")), "object")
-    return coded.select("rec_id", "graph_id", "relation", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"))
+    pairs = coded.select("rec_id", "graph_id", "relation", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"))
+    return materialize(pairs, "coded-triplets")  # read twice: to group, and to find the copies
 
 
 def found(nodes: DataFrame, triplets: DataFrame) -> DataFrame:
