@@ -31,6 +31,7 @@ URL = r"(?i)https?://\S++|(?<![\w.:/-])(?:www\.\S++|[\w-]++(?:\.[\w-]++)++/\S*+)
 TAG = r"#[\p{L}\p{M}\p{N}_]+"
 CODE = r"\b[A-Z]{1,3}\d{4,}\b"
 STOP = r"[.!?…。！？।॥]"
+FULL_STOP = r"[.!?…](?=[\s\"”»’)\]]|$)|[。！？।॥]"
 PIECE = r"[^.!?…。！？।॥\n|#>•·»*]++[.!?…。！？।॥]?+"  # always matches up to the next stop or break, so the scan is linear
 SEPARATOR = r"[,;|>•·»*/–\n]|\s-\s"
 
@@ -66,7 +67,7 @@ def features(docs: DataFrame) -> DataFrame:
         (total_length(found(TAG)) / size).alias("tag_share"),
         (F.size(found(CODE)) / n).alias("code_rate"),
         F.least(total_length(prose) / F.length(text), F.lit(1.0)).alias("prose_share"),
-        (F.size(found(STOP)) * 100 / size).alias("stop_rate"),
+        (F.size(F.regexp_extract_all(F.col("bare"), F.lit(FULL_STOP), F.lit(0))) * 100 / size).alias("stop_rate"),
         (F.size(found(SEPARATOR)) / n).alias("sep_rate"),
         repeated(tokens).alias("repeat_share"),
         repeated(pairs).alias("pair_repeat"),
