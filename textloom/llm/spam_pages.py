@@ -35,7 +35,7 @@ FULL_STOP = r"[.!?…](?=[\s\"”»’)\]]|$)|[。！？।॥]"
 PIECE = r"[^.!?…。！？।॥\n|#>•·»*]++[.!?…。！？।॥]?+"  # always matches up to the next stop or break, so the scan is linear
 SEPARATOR = r"[,;|>•·»*/–\n]|\s-\s"
 
-FEATURES = ["url_share", "tag_share", "code_rate", "prose_share", "stop_rate", "sep_rate", "repeat_share", "pair_repeat", "line_stop_share", "words_per_line", "digit_share", "token_length", "long_token_share", "separator_repeat"]
+FEATURES = ["url_share", "tag_share", "code_rate", "prose_share", "stop_rate", "sep_rate", "repeat_share", "pair_repeat", "line_stop_share", "words_per_line", "digit_share", "token_length", "long_token_share", "words_per_stop", "separator_repeat"]
 
 
 def total_length(parts: Column) -> Column:
@@ -76,6 +76,7 @@ def features(docs: DataFrame) -> DataFrame:
         (F.size(found(r"\p{Nd}")) / size).alias("digit_share"),
         (size / n).alias("token_length"),
         (total_length(F.filter(tokens, lambda x: F.length(x) >= 18)) / size).alias("long_token_share"),
+        F.least(n / F.greatest(F.size(F.regexp_extract_all(F.col("bare"), F.lit(FULL_STOP), F.lit(0))), F.lit(1)), F.lit(100.0)).alias("words_per_stop"),
         repeated(F.col("parts")).alias("separator_repeat"),
     )
 
@@ -88,6 +89,9 @@ def weak_label() -> Column:
     spam = listed & ((c("url_share") > 0.35) | (c("tag_share") > 0.35) | (c("code_rate") > 0.06) | (c("pair_repeat") > 0.5))
     spam = spam | (listed & (c("sep_rate") > 0.25) & (c("repeat_share") > 0.3) & (c("stop_rate") < 0.3) & (c("digit_share") < 0.1))
     true = (c("stop_rate") > 4) | ((c("prose_share") > 0.4) & (c("stop_rate") > 1.5)) | ((c("prose_share") > 0.5) & (c("pair_repeat") < 0.6)) | unspaced | (c("digit_share") > 0.4) | ((c("stop_rate") > 0.8) & (c("url_share") < 0.2) & (c("tag_share") < 0.05) & (c("code_rate") < 0.02))
+    # keywords in turn, each made a sentence of a few words
+    chopped = (c("words_per_stop") < 4.5) & (c("repeat_share") > 0.65) & (c("digit_share") < 0.3) & ~unspaced
+    spam, true = spam | chopped, true & ~chopped
     return F.when(spam & ~true, 1.0).when(true & ~spam, 0.0)
 
 
