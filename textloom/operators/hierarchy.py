@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import salience
+from textloom.session import materialize
 
 MAX_LEVELS = 10
+DOUBLINGS = 24  # paths of up to 2**24 steps; only a cycle needs more
 
 
 def levels(units: DataFrame, key: str, order: str, width: int, top: int = 1) -> DataFrame:
@@ -45,3 +47,21 @@ def antecedents(pronouns: DataFrame, mentions: DataFrame, key: str, reach: int =
     best = met.groupBy(key, "at").agg(F.max(F.struct(score.alias("score"), (-F.col("token")).alias("minus"), F.col("text"))).alias("b"))
     joined = pronouns.select(key, F.col("token").alias("at")).join(best, [key, "at"], "left")
     return joined.select(key, F.col("at").alias("token"), F.col("b.text").alias("antecedent"), F.coalesce("b.score", F.lit(-1)).alias("score"))
+
+
+def paths_to_root(tree: DataFrame, key: str, node: str, parent: str) -> DataFrame:
+    """(key, node, depth, root): steps from each node up to its root, by doubling jumps; nodes on a cycle have no root.
+
+    Each round reads what the last one wrote, so plans stay small; there are as
+    many rounds as the depth has binary digits.
+    """
+    now = tree.select(key, F.col(node).alias("node"), F.col(parent).alias("up"), F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"), F.col(node).alias("top"))
+    now = now.withColumn("top", F.coalesce("up", "node"))
+    for _ in range(DOUBLINGS):
+        now = materialize(now, "paths")
+        if now.where("up is not null").isEmpty():
+            break
+        jump = now.select(key, F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("top").alias("t2"))
+        joined = now.join(jump, [key, "up"], "left")
+        now = joined.select(key, "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("t2", "top").alias("top"))
+    return now.select(key, "node", "depth", F.when(F.col("up").isNull(), F.col("top")).alias("root"))

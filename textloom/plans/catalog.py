@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as fn
-from textloom.operators import acquisition, chunks, concepts, embeddings, graphs, hierarchy, timeline
+from textloom.operators import acquisition, chunks, concepts, crawl, embeddings, graphs, hierarchy, resolution, timeline
 from textloom.session import table
 from textloom.streaming import windows
 
@@ -204,6 +204,33 @@ def pronoun_antecedents(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.antecedents(pronouns, mentions, "graph_id")
 
 
+def entity_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of a graph with similar vectors are one entity, named by the shortest label."""
+    rows = table(spark, d, "clustered_node").where("size(embedding) = 96 and label is not null").select("graph_id", "node_id", "label", "embedding")
+    pairs = resolution.pairs_within(rows, "graph_id", "node_id", "embedding", 0.85)
+    return resolution.entity_classes(rows, pairs, "node_id", "label")
+
+
+def first_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows = resolution.first_spellings(table(spark, d, "raw_node").where("label is not null"), "graph_id", "node_id", "label")
+    return resolution.ranked_cap(rows, "graph_id", F.length("label"), "node_id", 30).select("graph_id", "node_id", "label", "place")
+
+
+def path_depths(spark: SparkSession, d: str) -> DataFrame:
+    """Each node's parent is the smallest neighbour below it in its graph."""
+    edges = clustered_edges(spark, d).where("source_id != target_id").select("graph_id", F.greatest("source_id", "target_id").alias("node"), F.least("source_id", "target_id").alias("parent"))
+    up = edges.groupBy("graph_id", "node").agg(F.max("parent").alias("parent"))
+    tree = table(spark, d, "clustered_node").select("graph_id", F.col("node_id").alias("node")).distinct().join(up, ["graph_id", "node"], "left")
+    return hierarchy.paths_to_root(tree, "graph_id", "node", "parent")
+
+
+def crawl_states(spark: SparkSession, d: str) -> DataFrame:
+    """Each custom query stands for a crawl: its rows give criterion, page and whether more pages follow."""
+    rows = pdf_rows(spark, d).groupBy("custom_query_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == 20).alias("k"))
+    states = rows.select("custom_query_id", F.pmod("n", F.lit(3)).cast("int").alias("criterion_index"), F.col("k").cast("int").alias("page"), F.expr("if(n % 2 = 0, array(0), cast(array() as array<int>))").alias("done"), F.array(F.lit(True), F.lit(False), F.lit(False)).alias("repeats"), (F.col("n") % 5 == 0).alias("has_more"))
+    return crawl.advance(states, F.lit(1000), 60).select("custom_query_id", "criterion_index", "page", F.size("done").alias("n_done"), "resume_at")
+
+
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -215,7 +242,7 @@ QUERIES = {
     for f in (
         source_breakdown, url_routing, url_reuse, relation_dedup, idempotent_append, latest_upsert, job_progress, finished_jobs, throughput_buckets, run_overlaps, trailing_outcomes, fair_claim, recent_list,
         chunk_windows, neighbour_context, pipe_triplets, graph_nodes, graph_edges, edge_merge, importance_sweep, degree_metrics, clustering_coefficients, hubs, connected_components, cluster_collapse,
-        tfidf_top, cooccurrence, cluster_representatives, alignment, side_metrics, hierarchy_levels, pronoun_antecedents, stream_windows,
+        tfidf_top, cooccurrence, cluster_representatives, alignment, side_metrics, hierarchy_levels, pronoun_antecedents, entity_resolution, first_labels, path_depths, crawl_states, stream_windows,
     )
 }
 
@@ -311,5 +338,21 @@ SQL: dict[str, str] = {
         FROM r p JOIN r m ON p.graph_id = m.graph_id AND m.node_id < p.node_id AND p.sent - m.sent <= 4 AND m.node_id % 4 != 0 WHERE p.node_id % 4 = 0),
       b AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY graph_id, token ORDER BY score DESC, node_id) = 1)
       SELECT p.graph_id, p.node_id AS token, b.text AS antecedent, coalesce(b.score, -1) AS score FROM r p LEFT JOIN b ON b.graph_id = p.graph_id AND b.token = p.node_id WHERE p.node_id % 4 = 0""",
+    "entity_resolution": """WITH RECURSIVE v AS (SELECT graph_id, node_id, label, embedding::DOUBLE[] AS e FROM clustered_node WHERE len(embedding) = 96 AND label IS NOT NULL),
+      p AS (SELECT a.node_id AS x, b.node_id AS y FROM v a JOIN v b ON a.graph_id = b.graph_id AND a.node_id != b.node_id WHERE a.e = b.e OR (list_dot_product(a.e, a.e) > 0 AND list_dot_product(b.e, b.e) > 0
+        AND round(list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))), 6) >= 0.85)),
+      r(node, seen) AS (SELECT node_id, node_id FROM v UNION SELECT r.node, p.y FROM r JOIN p ON r.seen = p.x), c AS (SELECT node AS node_id, min(seen) AS class FROM r GROUP BY 1)
+      SELECT node_id, class, first_value(label) OVER (PARTITION BY class ORDER BY length(label), lower(label), label) AS representative FROM c JOIN v USING (node_id)""",
+    "first_labels": """WITH f AS (SELECT graph_id, arg_min(label, node_id) AS label, min(node_id) AS node_id FROM raw_node WHERE label IS NOT NULL AND trim(label) != '' GROUP BY graph_id, lower(trim(label)))
+      SELECT graph_id, node_id, label, place FROM (SELECT *, row_number() OVER (PARTITION BY graph_id ORDER BY length(label), node_id) AS place FROM f) WHERE place <= 30""",
+    "path_depths": """WITH RECURSIVE u AS (SELECT graph_id, greatest(source_id, target_id) AS node, max(least(source_id, target_id)) AS parent FROM clustered_edge WHERE source_id != target_id GROUP BY 1, 2),
+      t AS (SELECT DISTINCT n.graph_id, n.node_id AS node, u.parent FROM clustered_node n LEFT JOIN u ON u.graph_id = n.graph_id AND u.node = n.node_id),
+      w AS (SELECT graph_id, node, node AS top, parent, 0 AS depth FROM t UNION ALL SELECT w.graph_id, w.node, t.node, t.parent, depth + 1 FROM w JOIN t ON t.graph_id = w.graph_id AND t.node = w.parent)
+      SELECT graph_id, node, depth, top AS root FROM w WHERE parent IS NULL""",
+    "crawl_states": """WITH c AS (SELECT custom_query_id, count(*) AS n, count(*) FILTER (status = 20) AS k FROM (SELECT DISTINCT * FROM custom_query_pdf) GROUP BY 1),
+      s AS (SELECT custom_query_id, (n % 3)::INT AS i, k::INT AS page, CASE WHEN n % 2 = 0 THEN [0] ELSE []::INT[] END AS done, n % 5 = 0 AS more FROM c),
+      d AS (SELECT *, CASE WHEN more OR i = 0 THEN done ELSE list_distinct(list_append(done, i)) END AS done2 FROM s),
+      f AS (SELECT *, CASE WHEN more THEN i WHEN NOT list_contains(done2, (i + 1) % 3) THEN (i + 1) % 3 WHEN NOT list_contains(done2, (i + 2) % 3) THEN (i + 2) % 3 WHEN NOT list_contains(done2, i) THEN i END AS nxt FROM d)
+      SELECT custom_query_id, nxt AS criterion_index, CASE WHEN more THEN page + 1 ELSE 1 END AS page, len(done2)::INT AS n_done, CASE WHEN NOT more AND i = 0 AND nxt <= i THEN 1060 END AS resume_at FROM f""",
     "stream_windows": "SELECT (epoch_us(ts) // 3600000000) * 3600 AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
 }
