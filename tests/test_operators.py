@@ -115,3 +115,43 @@ def test_graph_files(spark, tmp_path):
     assert (stats["files"], stats["recent"]) == (3, 3)
     files.write_json(got, str(tmp_path / "out"))
     assert "é" in "".join(p.read_text() for p in (tmp_path / "out").glob("*.json"))
+
+
+CRAWL = [  # (index, page, done), repeats, has_more -> (index, page, done), waits
+    ((0, 3, []), [True], True, (0, 4, []), False),
+    ((1, 2, [0]), [False, False], True, (1, 3, [0]), False),
+    ((0, 5, []), [True, True], False, (1, 1, []), False),
+    ((0, 5, []), [True], False, (0, 1, []), True),
+    ((0, 2, [1]), [True, False, True], False, (2, 1, [1]), False),
+    ((0, 2, []), [False, False], False, (1, 1, [0]), False),
+    ((0, 2, []), [False], False, (None, 1, [0]), False),
+    ((1, 2, [0]), [False, False], False, (None, 1, [0, 1]), False),
+    ((1, 2, []), [True, False], False, (0, 1, [1]), False),
+]
+
+
+def test_crawl_states(spark):
+    from textloom.operators import crawl
+
+    data = [(k, *state, repeats, more) for k, (state, repeats, more, _, _) in enumerate(CRAWL)]
+    df = spark.createDataFrame(data, "k int, criterion_index int, page int, done array<int>, repeats array<boolean>, has_more boolean")
+    for r in crawl.advance(df, F.lit(100), 60).collect():
+        want, waits = CRAWL[r["k"]][3:]
+        assert (r["criterion_index"], r["page"], sorted(r["done"])) == want, r["k"]
+        assert r["resume_at"] == (160 if waits else None), r["k"]
+    assert spark.range(1).select(crawl.paused(F.lit(1000), F.lit(500)), crawl.paused(F.lit(500), F.lit(1000)), crawl.paused(F.lit(None).cast("int"), F.lit(1))).first()[:] == (True, False, False)
+
+
+def test_paths_and_cycles(spark):
+    tree = spark.createDataFrame([(1, k, k - 1 if k else None) for k in range(40)] + [(2, 1, 2), (2, 2, 1)], "g int, node int, parent int")
+    got = {(r["g"], r["node"]): (r["depth"], r["root"]) for r in hierarchy.paths_to_root(tree.where("g = 1"), "g", "node", "parent").collect()}
+    assert got[1, 39] == (39, 0) and got[1, 0] == (0, 0)
+
+
+def test_entities_take_the_shortest_name(spark):
+    from textloom.operators import resolution
+
+    rows = spark.createDataFrame([(1, 1, "the cat", [1.0, 0.0]), (1, 2, "Cat", [1.0, 0.01]), (1, 3, "dog", [0.0, 1.0]), (1, 4, "null", [0.0, 0.0])], "g int, id int, name string, v array<float>")
+    pairs = resolution.pairs_within(rows, "g", "id", "v", 0.85)
+    got = {r["id"]: (r["class"], r["representative"]) for r in resolution.entity_classes(rows, pairs, "id", "name").collect()}
+    assert got == {1: (1, "Cat"), 2: (1, "Cat"), 3: (3, "dog"), 4: (4, "null")}
