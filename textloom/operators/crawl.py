@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def next_criterion(index: Column, count: Column, done: Column) -> Column:
     """The next criterion after index, going round, that is not done; null if all are."""
     round_trip = F.transform(F.sequence(F.lit(1), count), lambda k: F.pmod(index + k, count).cast("int"))
-    return F.element_at(F.filter(round_trip, lambda i: ~F.array_contains(done, i)), 1)
+    return F.get(F.filter(round_trip, lambda i: ~F.array_contains(done, i)), 0)
 
 
 def advance(states: DataFrame, now: Column, pause: int) -> DataFrame:
