@@ -44,23 +44,20 @@ STOP = re.compile(r"[.!?…,;:।。]['\"”»’)\]]*$")
 BROKEN = re.compile(r"[-‐‑–¬­]\s*$")
 SMALL = frozenset("a an and as at by for from in of on or the to und zum zur im der die das in von".split())
 
-# Characters that look alike, folded to one shape; then pairs that look like one character.
+# Characters that look alike, as one shape or as the strokes they break into.
 SHAPES = {
-    "0": "o", "о": "o", "ο": "o", "1": "i", "l": "i", "!": "i", "|": "i", "і": "i", "ı": "i", "j": "i", "5": "s", "ѕ": "s", "$": "s", "†": "t", "9": "g", "q": "g",
+    "0": "o", "о": "o", "ο": "o", "1": "i", "l": "i", "!": "i", "|": "i", "і": "i", "ı": "i", "j": "i", "r": "i", "г": "i", "5": "s", "ѕ": "s", "$": "s", "†": "t", "9": "g", "q": "g",
+    "n": "ii", "u": "ii", "h": "ii", "и": "ii", "н": "ii", "й": "ii", "m": "iii", "м": "iii", "т": "iii", "d": "ci", "w": "vv", "ν": "v", "ы": "bi",
     "6": "b", "б": "b", "в": "b", "ь": "b", "ъ": "b", "3": "з", "э": "з", "е": "c", "e": "c", "с": "c", "є": "c", "а": "a", "α": "a", "@": "a", "р": "p", "ρ": "p", "х": "x", "у": "y",
-    "ĸ": "k", "к": "k", "κ": "k", "м": "m", "т": "m", "и": "n", "н": "n", "й": "n", "u": "n", "h": "n", "п": "л", "д": "л", "щ": "ш", "ц": "ш", "г": "r", "ν": "v",
+    "ĸ": "k", "к": "k", "κ": "k", "ж": "k", "п": "л", "д": "л", "щ": "ш", "ц": "ш",
 }
-PAIRS = (("rn", "m"), ("ri", "n"), ("ii", "n"), ("ci", "d"), ("vv", "w"), ("bi", "bi"), ("di", "cn"), ("ы", "bi"))
-JUNK = "^~\\`*_¦"
+JUNK = "^~\\`*_¦()"
 
 
 def shape_key(word: str) -> str:
     """Words that can be misread for each other share a key."""
     plain = "".join(c for c in unicodedata.normalize("NFD", word.casefold()) if unicodedata.category(c) != "Mn" and c not in JUNK)
-    key = "".join(SHAPES.get(c, c) for c in plain)
-    for a, b in PAIRS:
-        key = key.replace(a, b)
-    return key
+    return "".join(SHAPES.get(c, c) for c in plain)
 
 
 def keys_of_word(word: str | None) -> list[str]:
@@ -226,7 +223,7 @@ def corrections(words: DataFrame, clean: DataFrame) -> DataFrame:
     asked = distinct.select("low", F.explode(batched(keys_of_token, "array<string>")("low")).alias("key"))
     offered = vocab.where(F.col("n") >= LIKELY).select("word", "n", F.explode(batched(keys_of_word, "array<string>")("word")).alias("key")).where("key != ''")
     met = asked.join(offered, "key").select("low", "word", "n").distinct()
-    near = F.levenshtein("low", "word")
+    near = F.levenshtein(F.translate("low", JUNK, ""), F.col("word"))
     met = met.where((near <= F.greatest(F.lit(2), F.length("low") / 4)) & (F.col("low") != F.regexp_replace("word", "-", "")))
     top = Window.partitionBy("low").orderBy(near, F.desc("n"), "word")
     met = materialize(met.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= CANDIDATES).drop("rn"), "scan-candidates")
