@@ -20,7 +20,8 @@ gathered in one task, and no table is broadcast by hand.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,7 @@ WRITTEN = ("utf-8", "cp1251", "koi8-r", "cp866", "cp1252", "mac-roman", "gbk", "
 READ = ("cp1252", "latin-1", "cp1251", "koi8-r", "cp866", "cp437", "mac-roman", "cp1250", "utf-8", "ascii")
 TWICE = {"cp1252": ("cp1252", "latin-1"), "latin-1": ("latin-1", "cp1252"), "cp1251": ("cp1251", "cp1252"), "cp437": ("cp437",)}
 LOST = "�"
+BAD = "\0"
 
 
 def read_as(raw: bytes, encoding: str) -> str:
@@ -53,45 +55,78 @@ def read_as(raw: bytes, encoding: str) -> str:
         return "".join(chr(b) if (c := bytes([b]).decode(encoding, "replace")) == LOST else c for b in raw)
 
 
-def garbled_forms(token: str) -> dict[str, str]:
-    """Garbled form -> name of the chain that made it."""
-    forms: dict[str, str] = {}
-    for written in WRITTEN:
+class Garbler(dict):
+    """What one chain makes of each character; characters are worked out once. An impossible one gives BAD."""
+
+    def __init__(self, written: str, reads: tuple[str, ...], lossy: bool = False):
+        super().__init__()
+        self.written, self.reads, self.lossy = written, reads, lossy
+
+    def __missing__(self, code: int) -> str:
         try:
-            raw = token.encode(written)
+            text = chr(code)
+            for k, read in enumerate(self.reads):
+                raw = text.encode(self.written if k == 0 else "utf-8")
+                text = raw.decode(read, "replace") if self.lossy else read_as(raw, read)
         except UnicodeEncodeError:
-            continue
+            text = BAD
+        self[code] = text
+        return text
+
+
+@lru_cache(maxsize=1)
+def chains() -> list[tuple[str, Garbler]]:
+    """All chains that work character by character (every reading but UTF-8 does)."""
+    out = []
+    for written in WRITTEN:
         for read in READ:
-            if read == written:
+            if read in (written, "utf-8"):
                 continue
-            form = read_as(raw, read)
-            forms.setdefault(form, f"{written}>{read}")
+            out.append((f"{written}>{read}", Garbler(written, (read,))))
             if written == "utf-8" and read in TWICE:
-                forms.setdefault(raw.decode(read, "replace"), f"{written}>{read}")
+                out.append((f"{written}>{read}", Garbler(written, (read,), lossy=True)))
                 for again in TWICE[read]:
-                    twice = read_as(form.encode("utf-8", "replace"), again)
-                    forms.setdefault(twice, f"{written}>{read}>{again}")
-                    forms.setdefault(read_as(twice.encode("utf-8", "replace"), again), f"{written}>{read}>{again}>{again}")
+                    out.append((f"{written}>{read}>{again}", Garbler(written, (read, again))))
+                    out.append((f"{written}>{read}>{again}>{again}", Garbler(written, (read, again, again))))
+    return out
+
+
+def garbled_forms(token: str) -> dict[str, str]:
+    """Garbled form -> name of the chain that made it."""
+    forms: dict[str, str] = {}
+    for name, garbler in chains():
+        form = token.translate(garbler)
+        if BAD not in form:
+            forms.setdefault(form, name)
+    for written in WRITTEN[1:]:
+        try:
+            forms.setdefault(token.encode(written).decode("utf-8", "replace"), f"{written}>utf-8")
+        except UnicodeEncodeError:
+            continue
     forms.setdefault("?" * len(token), "ascii?")
     forms.setdefault("?" * len(token.encode("utf-8", "replace")), "ascii?")
     forms.pop(token, None)
     return forms
 
 
-def form_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for token, n in zip(batch["token"], batch["n"], strict=True):
-            for form, chain in garbled_forms(token).items():
-                if form.isascii() and form.strip("?"):
-                    continue
-                multi = chain.startswith(("utf-8", "gbk")) or LOST in form
-                if not multi and len(token) < LEAST_SINGLE:
-                    continue
-                if len(form) < 2 and form != LOST:
-                    continue
-                rows.append((form, token, int(n), chain))
-        yield pd.DataFrame(rows, columns=["form", "original", "n", "chain"])
+def rows_of_forms(lengths: tuple[int, ...] | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Forms of tokens as rows, a thousand tokens at a time; only of the given lengths, if any are given."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                rows = []
+                for token, n in zip(batch["token"][at : at + 1000], batch["n"][at : at + 1000], strict=True):
+                    for form, chain in garbled_forms(token).items():
+                        if lengths and len(form) not in lengths or form.isascii() and form.strip("?"):
+                            continue
+                        multi = chain.startswith(("utf-8", "gbk")) or LOST in form
+                        if not multi and len(token) < LEAST_SINGLE or len(form) < 2 and form != LOST:
+                            continue
+                        rows.append((form, token, int(n), chain))
+                yield pd.DataFrame(rows, columns=["form", "original", "n", "chain"])
+
+    return make
 
 
 def runs(text: Column) -> Column:
@@ -118,7 +153,7 @@ def spread(rows: DataFrame) -> DataFrame:
 
 def form_table(clean: DataFrame) -> DataFrame:
     """(form, original, n, chain): one row for each garbled form; forms that are clean tokens are left out."""
-    forms = spread(clean).mapInPandas(form_rows, "form string, original string, n bigint, chain string")
+    forms = spread(clean).mapInPandas(rows_of_forms(None), "form string, original string, n bigint, chain string")
     forms = forms.join(clean.select(F.col("token").alias("form")), "form", "left_anti")
     best = F.max(F.struct("n", "original", "chain"))
     return forms.groupBy("form").agg(best.alias("b")).select("form", "b.original", "b.n", "b.chain")
@@ -157,8 +192,8 @@ def matches(suspects: DataFrame, clean: DataFrame) -> DataFrame:
     own_forms = materialize(own_forms, "own-forms")
     own = own.join(own_forms.select(F.col("form").alias("token")), "token", "left_anti")
     groups = letter_groups(clean_tokens.unionByName(own))
-    small = spread(groups).mapInPandas(form_rows, "form string, original string, n bigint, chain string")
-    small = small.where(F.length("form").isin(*WINDOWS) & ~F.col("form").rlike(r"^[?�]+$")).groupBy("form").agg(F.max(F.struct("n", "original", "chain")).alias("b"))
+    small = spread(groups).mapInPandas(rows_of_forms(WINDOWS), "form string, original string, n bigint, chain string")
+    small = small.where(~F.col("form").rlike(r"^[?�]+$")).groupBy("form").agg(F.max(F.struct("n", "original", "chain")).alias("b"))
     small = small.select(F.col("form").alias("window"), "b.original", "b.chain")
     left = counts.select("form").where(F.col("form").rlike(SUSPECT) & (F.length("form") >= 3)).join(own_forms.select("form").unionByName(own.select("token").toDF("form")), "form", "left_anti")
     cut = left.select("form", F.explode(windows(F.col("form"))).alias("window"))
