@@ -155,3 +155,11 @@ def test_entities_take_the_shortest_name(spark):
     pairs = resolution.pairs_within(rows, "g", "id", "v", 0.85)
     got = {r["id"]: (r["class"], r["representative"]) for r in resolution.entity_classes(rows, pairs, "id", "name").collect()}
     assert got == {1: (1, "Cat"), 2: (1, "Cat"), 3: (3, "dog"), 4: (4, "null")}
+
+
+def test_terms_of_every_script(spark):
+    from textloom.operators import concepts
+
+    rows = spark.createDataFrame([(1, "Größe größe x"), (2, "Знание 知识图谱"), (3, "ज्ञान ความรู้"), (4, "a_1 B2")], "doc int, text string")
+    got = {(r["doc"], r["term"]): r["tf"] for r in concepts.terms(rows, "doc", "text").collect()}
+    assert got == {(1, "größe"): 2, (2, "знание"): 1, (2, "知识图谱"): 1, (3, "ज्ञान"): 1, (3, "ความรู้"): 1, (4, "a_1"): 1, (4, "b2"): 1}

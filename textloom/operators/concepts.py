@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def terms(docs: DataFrame, doc: str, text: str, pattern: str = "[a-z]{2,}") -> DataFrame:
+WORDS = r"[\p{L}\p{M}\p{N}_]{2,}"  # \b\w\w+\b in every script, with combining marks
+
+
+def terms(docs: DataFrame, doc: str, text: str, pattern: str = WORDS) -> DataFrame:
     """(doc, term, tf) of the lower-case terms."""
     words = docs.select(doc, F.explode(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))).alias("term"))
     return words.groupBy(doc, "term").agg(F.count("*").alias("tf"))

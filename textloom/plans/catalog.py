@@ -167,6 +167,12 @@ def cluster_collapse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tfidf_top(spark: SparkSession, d: str) -> DataFrame:
+    """Terms of a to z only, as its SQL says; `tfidf_words` takes those of every script."""
+    docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    return concepts.top_terms(concepts.tfidf(concepts.terms(docs, "doc_id", "text", "[a-z]{2,}"), docs, "doc_id"), "doc_id", 5)
+
+
+def tfidf_words(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
     return concepts.top_terms(concepts.tfidf(concepts.terms(docs, "doc_id", "text"), docs, "doc_id"), "doc_id", 5)
 
@@ -242,7 +248,7 @@ QUERIES = {
     for f in (
         source_breakdown, url_routing, url_reuse, relation_dedup, idempotent_append, latest_upsert, job_progress, finished_jobs, throughput_buckets, run_overlaps, trailing_outcomes, fair_claim, recent_list,
         chunk_windows, neighbour_context, pipe_triplets, graph_nodes, graph_edges, edge_merge, importance_sweep, degree_metrics, clustering_coefficients, hubs, connected_components, cluster_collapse,
-        tfidf_top, cooccurrence, cluster_representatives, alignment, side_metrics, hierarchy_levels, pronoun_antecedents, entity_resolution, first_labels, path_depths, crawl_states, stream_windows,
+        tfidf_top, tfidf_words, cooccurrence, cluster_representatives, alignment, side_metrics, hierarchy_levels, pronoun_antecedents, entity_resolution, first_labels, path_depths, crawl_states, stream_windows,
     )
 }
 
@@ -324,6 +330,9 @@ SQL: dict[str, str] = {
     "tfidf_top": """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) AS term FROM documents WHERE text IS NOT NULL), c AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
       n AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL), x AS (SELECT doc_id, term, tf * (ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1) AS v FROM c JOIN d USING (term), n),
       s AS (SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS score FROM x) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS place FROM s) WHERE place <= 5""",
+    "tfidf_words": r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]{2,}')) AS term FROM documents WHERE text IS NOT NULL), c AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), d AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
+      n AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL), x AS (SELECT doc_id, term, tf * (ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1) AS v FROM c JOIN d USING (term), n),
+      s AS (SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS score FROM x) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS place FROM s) WHERE place <= 5""",
     "cooccurrence": "WITH i AS (SELECT DISTINCT graph_id, relation FROM raw_triplet) SELECT a.relation AS a, b.relation AS b, count(*) AS n FROM i a JOIN i b ON a.graph_id = b.graph_id AND a.relation < b.relation GROUP BY 1, 2 HAVING count(*) >= 2",
     "cluster_representatives": """WITH v AS (SELECT graph_id, node_id, embedding::DOUBLE[] AS e FROM clustered_node WHERE len(embedding) = 96), l AS (SELECT graph_id, unnest(generate_series(1, 96)) AS p, unnest(e) AS x FROM v),
       m AS (SELECT graph_id, list(a ORDER BY p) AS m FROM (SELECT graph_id, p, avg(x) AS a FROM l GROUP BY 1, 2) GROUP BY 1),
