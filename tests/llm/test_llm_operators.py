@@ -161,3 +161,24 @@ def test_spam_lists_are_told_from_prose(spark):
     rows += [(3, "s", "short"), (5, "s", None), (6, "s", " "), (7, "s", "")]
     docs = spark.createDataFrame(rows, "doc_id bigint, site string, text string")
     assert sorted(r["doc_id"] for r in spam_pages.found(docs).collect()) == [*range(100, 120), *range(200, 220)]
+
+
+def scanned(spark, pages, clean):
+    chunk = spark.createDataFrame([(k, 1, "scan", t) for k, t in enumerate(pages)] + [(1000 + k, 2, "text", t) for k, t in enumerate(clean)], "chunk_id bigint, graph_id bigint, origin string, text string")
+    graph = spark.createDataFrame([], "graph_id bigint, origin string, source_text string")
+    sentence = spark.createDataFrame([], "sentence_id bigint, origin string, text string")
+    return {r["rec_id"]: r["text"] for r in scanned_text.repaired(chunk, graph, sentence).collect()}
+
+
+def test_tokens_compete_with_their_look_alikes(spark):
+    plain = "a boat came over the water and the old man went to the house by the lake with his son"
+    sky = "the sky was clear over the lake of the north"
+    rest = [f"his {w} friend came by" for w in ("near", "bear", "deal", "dead", "tear", "year", "dean", "fear", "heap", "deep")]
+    pages = ["my dear friend came by the lake", "the sky was c1ear 0f the north"] + [f"{plain} {k}" for k in range(60)]
+    got = scanned(spark, pages, [plain] * 60 + [sky] * 5 + rest)
+    assert got[0] == pages[0]  # a new word, well spelled, against a word of five occurrences
+    assert got[1] == "the sky was clear of the north"
+    pages[0] = "the sky was dear over the lake"
+    pages += ["the doud over the dock", "the dimate of the north", "the dass went by the lake"] * 5
+    got = scanned(spark, pages, [plain] * 60 + [sky] * 80 + rest + ["the cloud over the clock", "the climate of the north", "the class went by the lake"] * 10 + ["my dear friend came by"] * 2)
+    assert got[0] == "the sky was clear over the lake"  # a word of its own, but not here

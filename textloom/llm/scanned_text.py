@@ -3,18 +3,19 @@
 Structure first: page number lines, and running titles, which recur within a
 graph, carry a page number, or stop before the line is full. A word broken at a
 line end is told from a compound's own hyphen by the counts of both spellings.
-Then noisy-channel correction: words unknown to the clean corpus get candidates
-that look alike under the character confusions (same shape key, or one odd
-character), and Viterbi decoding over the candidate words of a line weighs
-confusion probabilities, learned from the aligned candidates, with the corpus
-bigram likelihood.
+Then noisy-channel correction: every word gets the candidates that look alike
+under the character confusions (same shape key, or one odd character), and
+Viterbi decoding over the words of a line, each word itself among its
+candidates, weighs confusion probabilities, learned from the aligned
+candidates, with the counts and bigrams of the corpus and, for new words, with
+their spelling.
 
 Defined results: null, empty and blank texts have no line; a line is header or
 page, or may be hyphen and misread; repeated rows count once; extra columns
 are not read.
 
 Scale: vocabulary, bigrams and keys are distinct rows with counts, joined by
-hash; only lines with an unknown word are decoded; a task holds one record.
+hash; only lines with a word that has candidates are decoded; a task holds one record.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ from textloom.session import batched, materialize
 WORD = r"[\p{L}\p{M}]+(?:[-’'][\p{L}\p{M}]+)*"
 KNOWN = 2  # a word counts as known from this many occurrences in clean text
 LIKELY = 3  # occurrences that a correction must have at least
-CANDIDATES = 6
+PRIOR = 100.0  # occurrences that a word's own share weighs among those of its pairs
+LETTERS = 10.0  # the same for letters
 
 PAGE = re.compile(r"^\W*(?:(?:page|p\.|стр\.?|с\.|стор\.?|seite|s\.|पृष्ठ|પૃષ્ઠ|页|หน้า)\s*)?(?:\d{1,4}|[ivxlc]{1,6})\W*$", re.I)
 NOT_PAGE = re.compile(r"\d\.\s*$|[,;:!?%»”\")]\s*$|^\s*[§№(“«\"]")
@@ -189,16 +191,49 @@ def bigrams(clean: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n"))
 
 
-def decode_line(steps: list[list[tuple[str, float]]], pair: dict[tuple[str, str], float]) -> list[str]:
-    """Viterbi: the likeliest words, one of each step's (word, score), with bigram scores between."""
-    best = {w: (s, [w]) for w, s in steps[0]}
+def decode_line(steps: list[list[tuple[str, float, int]]], pair: dict[tuple[str, str], int], total: float) -> list[str]:
+    """Viterbi: the likeliest words, one of each step's (word, score, count); the first of equals.
+
+    A pair adds log P(b | a) / P(b), where P(b | a) is the pair's share of a's
+    occurrences, drawn to P(b) as if a had been seen PRIOR times more.
+    """
+    best = {w: (s, n, None) for w, s, n in steps[0]}
+    trail = [best]
     for step in steps[1:]:
         now = {}
-        for w, s in step:
-            score, path = max(((t + pair.get((p[-1], w), 0.0), p) for t, p in best.values()), key=lambda x: x[0])
-            now[w] = (score + s, [*path, w])
+        for w, s, n in step:
+            at, frm = max(((t + math.log((pair.get((v, w), 0) * total / max(n, 1) + PRIOR) / (m + PRIOR)), v) for v, (t, m, _) in best.items()), key=lambda x: x[0])
+            now[w] = (at + s, n, frm)
         best = now
-    return max(best.values(), key=lambda x: x[0])[1]
+        trail.append(best)
+    path = [max(best, key=lambda w: best[w][0])]
+    for done in trail[:0:-1]:
+        path.append(done[path[-1]][2])
+    return path[::-1]
+
+
+def letter_pairs(word: str) -> Column:
+    """Neighbouring characters of a column's words, both ends marked."""
+    return F.expr(f"transform(sequence(1, length({word}) + 1), i -> substring(concat('\\u0002', {word}, '\\u0003'), i, 2))")
+
+
+def spelling(vocab: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(low, spelled): log probability of a new word to be spelled so, by the letter pairs of the distinct words."""
+    seen = vocab.where("n > 0").select(F.explode(letter_pairs("word")).alias("g")).groupBy("g").agg(F.count("*").alias("c"))
+    firsts = seen.groupBy(F.substring("g", 1, 1).alias("a")).agg(F.sum("c").alias("ca"))
+    seconds = seen.groupBy(F.substring("g", 2, 1).alias("b")).agg(F.sum("c").alias("cb"))
+    whole = seen.agg(F.sum("c").alias("whole"))
+    asked = tokens.select("low", F.explode(letter_pairs("low")).alias("g")).withColumn("a", F.substring("g", 1, 1)).withColumn("b", F.substring("g", 2, 1))
+    asked = asked.join(seen, "g", "left").join(firsts, "a", "left").join(seconds, "b", "left").crossJoin(F.broadcast(whole))  # one row
+    n = lambda c: F.coalesce(c, F.lit(0))
+    alone = (n("cb") + 0.5) / (n("whole") + 1.0)
+    return asked.groupBy("low").agg(F.sum(F.log((n("c") + LETTERS * alone) / (n("ca") + LETTERS))).alias("spelled"))
+
+
+def odd_tokens(clean: DataFrame) -> DataFrame:
+    """(low, n_odd): tokens of clean texts that are no words, as `5g`."""
+    tokens = clean.select(F.explode(F.split("text", r"\s+")).alias("t")).select(F.lower(F.btrim("t", F.lit(EDGE))).alias("low"))
+    return tokens.where((F.col("low") != "") & ~F.col("low").rlike(f"^{WORD}$")).groupBy("low").agg(F.count("*").alias("n_odd"))
 
 
 def edits(token: str, word: str) -> tuple[str, str]:
@@ -213,38 +248,56 @@ def edits(token: str, word: str) -> tuple[str, str]:
 
 
 def corrections(words: DataFrame, clean: DataFrame) -> DataFrame:
-    """(src, rec_id, line_no, pos, token, left, word): unknown words with the word that decoding chose."""
+    """(src, rec_id, line_no, pos, token, left, word): tokens that decoding read as another word.
+
+    The token itself is among the options of its place: as a word of the clean
+    corpus by its count, as a new one by the share of new words and its
+    spelling. All words that look alike compete with it, be it known or not.
+    """
     vocab = materialize(vocabulary(clean), "scan-vocabulary")
+    sums = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") == 1).alias("once")).first()
+    total = float(max(sums["n"], 1))
+    new = (sums["once"] + 0.5) / (total + 1.0)  # Good and Turing's share of words not seen so far
     lower = words.withColumn("low", F.lower("token"))
-    letters = F.regexp_replace("low", r"[^\p{L}]", "")
-    known = vocab.where(F.col("n") >= KNOWN).select(F.col("word").alias("low"), F.lit(True).alias("known"))
-    distinct = lower.where(F.length(letters) >= 2).select("low").distinct().join(known, "low", "left_anti")
+    letters = F.length(F.regexp_replace("low", r"[^\p{L}]", ""))
+    tokens = lower.where((letters >= 2) | ((letters == 1) & F.col("low").rlike(r"[^\p{L}\p{M}]"))).groupBy("low").agg(F.count("*").alias("times"))
     # parts of compounds written with another hyphen, numbers with letters and the like have no candidate
-    asked = distinct.select("low", F.explode(batched(keys_of_token, "array<string>")("low")).alias("key"))
+    asked = tokens.select("low", F.explode(batched(keys_of_token, "array<string>")("low")).alias("key"))
     offered = vocab.where(F.col("n") >= LIKELY).select("word", "n", F.explode(batched(keys_of_word, "array<string>")("word")).alias("key")).where("key != ''")
     met = asked.join(offered, "key").select("low", "word", "n").distinct()
     near = F.levenshtein(F.translate("low", JUNK, ""), F.col("word"))
     met = met.where((near <= F.greatest(F.lit(2), F.length("low") / 4)) & (F.col("low") != F.regexp_replace("word", "-", "")))
-    top = Window.partitionBy("low").orderBy(near, F.desc("n"), "word")
-    met = materialize(met.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= CANDIDATES).drop("rn"), "scan-candidates")
-    # confusion probabilities from the aligned candidates that stand alone
     split = batched(lambda x: "\x1f".join(edits(*x.split("\x1f"))), "string")
-    aligned = met.withColumn("edit", split(F.concat_ws("\x1f", "low", "word")))
-    alone = aligned.join(met.groupBy("low").agg(F.count("*").alias("k")).where("k = 1"), "low")
+    met = materialize(met.withColumn("edit", split(F.concat_ws("\x1f", "low", "word"))), "scan-candidates")
+    # the tokens that have candidates, as themselves
+    own = met.select("low").distinct()
+    own = own.join(tokens, "low").join(vocab.select(F.col("word").alias("low"), F.col("n").alias("n_word")), "low", "left").join(odd_tokens(clean), "low", "left").join(spelling(vocab, own), "low")
+    own = materialize(own.select("low", "times", F.coalesce("n_word", "n_odd", F.lit(0)).alias("n"), "spelled"), "scan-own")
+    # confusion probabilities from the other unknown tokens with one candidate; how often words are misread from all unknown tokens with one or more
+    unknown = own.where(F.col("n") < KNOWN)
+    alone = met.join(unknown.select("low"), "low", "left_semi").groupBy("low").agg(F.count("*").alias("k"), F.first("edit").alias("edit")).where("k = 1")
     channel = alone.groupBy("edit").agg(F.count("*").alias("c"))
     whole = alone.count()
-    scored = aligned.join(channel, "edit", "left").select("low", "word", "n", F.log((F.coalesce("c", F.lit(0)) + 0.5) / (whole + 1.0)).alias("p"))
-    hits = lower.join(scored.select("low").distinct(), "low", "left_semi").select("src", "rec_id", "line_no").distinct()
-    total = vocab.agg(F.coalesce(F.sum("n"), F.lit(1)).alias("n")).first()["n"]
+    misread = unknown.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n")).first()["n"]
+    rate = (misread + 0.5) / (lower.count() + 1.0)
+    chance = lambda n: F.col(n) / F.lit(total) * F.lit(1 - new)
+    seen = met.join(channel, "edit", "left").join(alone.select("low", F.lit(1).alias("same")), "low", "left")
+    others = F.coalesce("c", F.lit(0)) - F.coalesce("same", F.lit(0))
+    scored = seen.select("low", F.col("word").alias("option"), "n", (F.log((others + 0.5) / (whole + 1.0)) + math.log(rate) + F.log(chance("n"))).alias("score"))
+    itself = F.log(chance("n") + F.lit(new) * F.exp("spelled"))
+    scored = scored.unionByName(own.select("low", F.col("low").alias("option"), "n", (math.log(max(1 - rate, 1e-9)) + F.greatest(itself, math.log(new) + F.col("spelled"))).alias("score")))
     order = ["src", "rec_id", "line_no"]
-    lines = lower.join(hits, order, "left_semi")
-    options = lines.join(scored.select("low", F.col("word").alias("option"), "n", "p"), "low", "left")
-    options = options.select(*order, "pos", "token", "left", "low", F.coalesce("option", "low").alias("option"), F.when(F.col("option").isNull(), 0.0).otherwise(F.col("p") + F.log(F.col("n") / F.lit(float(total)))).alias("score"))
+    lines = lower.join(lower.join(own, "low", "left_semi").select(*order).distinct(), order, "left_semi")
+    options = lines.join(scored, "low", "left")
+    options = options.select(*order, "pos", "token", "left", "low", F.coalesce("option", "low").alias("option"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("score", F.lit(0.0)).alias("score"), F.col("option").isNotNull().alias("open"))
+    # of a word without candidates only its count is missing
+    options = options.join(vocab.select(F.col("word").alias("option"), F.col("n").alias("n_word")), "option", "left").withColumn("n", F.coalesce("n_word", "n")).drop("n_word")
     options = materialize(options, "scan-options")
-    following = options.select(*order, (F.col("pos") - 1).alias("pos"), F.col("option").alias("b"))
-    pairs = options.select(*order, "pos", F.col("option").alias("a")).join(following, [*order, "pos"]).join(bigrams(clean).withColumnRenamed("n", "k"), ["a", "b"])
+    following = options.select(*order, (F.col("pos") - 1).alias("pos"), F.col("option").alias("b"), F.col("open").alias("next_open"))
+    pairs = options.select(*order, "pos", F.col("option").alias("a"), "open").join(following, [*order, "pos"]).where("open or next_open")
+    pairs = pairs.join(bigrams(clean).withColumnRenamed("n", "k"), ["a", "b"])
     pair_lists = pairs.groupBy(*order).agg(F.collect_set(F.struct("a", "b", "k")).alias("pairs"))
-    steps = options.groupBy(*order).agg(F.collect_list(F.struct("pos", "token", "left", "low", "option", "score")).alias("steps"))
+    steps = options.groupBy(*order).agg(F.collect_list(F.struct("pos", "token", "left", "low", "option", "score", "n")).alias("steps"))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -253,9 +306,10 @@ def corrections(words: DataFrame, clean: DataFrame) -> DataFrame:
                 by: dict[int, list] = {}
                 for x in steps:
                     by.setdefault(x["pos"], []).append(x)
-                pair = {(p["a"], p["b"]): math.log1p(p["k"]) for p in (pairs if pairs is not None else [])}
+                pair = {(p["a"], p["b"]): p["k"] for p in (pairs if pairs is not None else [])}
                 at = sorted(by)
-                words = decode_line([[(x["option"], x["score"]) for x in by[k]] for k in at], pair)
+                ranked = [sorted(by[k], key=lambda x: (x["option"] != x["low"], x["option"])) for k in at]
+                words = decode_line([[(x["option"], x["score"], x["n"]) for x in xs] for xs in ranked], pair, total)
                 for k, w in zip(at, words, strict=True):
                     x = by[k][0]
                     if w != x["low"]:
