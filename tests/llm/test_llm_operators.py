@@ -182,3 +182,14 @@ def test_tokens_compete_with_their_look_alikes(spark):
     pages += ["the doud over the dock", "the dimate of the north", "the dass went by the lake"] * 5
     got = scanned(spark, pages, [plain] * 60 + [sky] * 80 + rest + ["the cloud over the clock", "the climate of the north", "the class went by the lake"] * 10 + ["my dear friend came by"] * 2)
     assert got[0] == "the sky was clear over the lake"  # a word of its own, but not here
+
+
+def test_many_vectors_of_one_direction_go_by_smallest_id(spark):
+    rng = np.random.default_rng(3)
+    line = rng.normal(size=96)
+    rows = [(k, [float(x) for x in line * (1 + k * 0.37)]) for k in rng.permutation(400).tolist()] + [(1000 + k, [float(x) for x in rng.normal(size=96)]) for k in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<float>").select(F.lit("x").alias("src"), "id", "vec").repartition(4)
+    got = {}
+    for r in vector_graph.similar_vectors(df).collect():
+        got.setdefault(r["id"], set()).add(r["near_id"])
+    assert got == {k: set([x for x in range(6) if x != k][:5]) for k in range(400)}
