@@ -11,15 +11,21 @@ Defined results: null, empty and blank texts have no segment; a sentence
 without letters joins the segment before it (or the first after it); null,
 empty and unknown labels denote no language; a chunk without its graph is
 treated as unlabelled; extra columns are not read.
+
+Scale: features are worked out in Arrow batches where they are used and never
+stored; the machines of all pairs are fitted in one job, one task for each
+pair's sample of at most `fit_rows` sentences; a machine is a vector of WIDTH
+numbers, whatever the corpus.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.ml.classification import LinearSVC, LinearSVCModel
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,18 +34,27 @@ from textloom.session import materialize
 
 FIT_ROWS = 12_000  # bound of the fitting sample of each pair
 WIDTH = 1 << 14
+GROUPS = 4  # longest letter group
+STEPS = 60
 UNSURE = 0.5  # margin below which a brief unit (a heading, a number line) follows its neighbours
 BRIEF = 40
 FAINT = 0.12  # the same for any unit
+FIT_LENGTH = 20  # shortest sentence to learn from
 
 # Families by script, and the usual codes of the languages.
 FAMILIES = {"latin": ("en", "de"), "cyrillic": ("ru", "uk"), "gujarati": ("gu",), "devanagari": ("hi",), "han": ("zh",), "thai": ("th",)}
-SCRIPTS = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "gujarati": r"\p{IsGujarati}", "devanagari": r"[\p{IsDevanagari}&&[^।॥]]", "han": r"\p{IsHan}", "thai": r"\p{IsThai}"}
+# Letters of each family as ranges of code points.
+SCRIPTS = {
+    "latin": ((0x41, 0x5A), (0x61, 0x7A), (0xAA, 0xAA), (0xBA, 0xBA), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x2B8), (0x1E00, 0x1EFF)),
+    "cyrillic": ((0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)), "gujarati": ((0xA80, 0xAFF),), "devanagari": ((0x900, 0x963), (0x966, 0x97F)),
+    "han": ((0x2E80, 0x2FD5), (0x3005, 0x3007), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FA1F)), "thai": ((0xE01, 0xE3A), (0xE40, 0xE5B)),
+}
 WEIGHT = {"han": 3.0}
 CODES = {
     "en": ("en", "eng", "english"), "ru": ("ru", "rus", "russian"), "uk": ("uk", "ukr", "ua", "ukrainian"), "gu": ("gu", "guj", "gujarati"),
     "hi": ("hi", "hin", "hindi"), "de": ("de", "deu", "ger", "german"), "zh": ("zh", "zho", "chi", "cmn", "chinese"), "th": ("th", "tha", "thai"),
 }
+WORDS = regex.compile(r"[\p{L}\p{M}]+")
 
 
 def label_language(label: Column) -> Column:
@@ -51,21 +66,92 @@ def label_language(label: Column) -> Column:
     return out
 
 
-def family(text: Column) -> Column:
-    """Struct of the family most letters belong to (null without letters) and its share."""
-    shares = F.array(*(F.struct((F.size(F.regexp_extract_all(text, F.lit(p), F.lit(0))) * WEIGHT.get(f, 1.0)).alias("n"), F.lit(f).alias("family")) for f, p in SCRIPTS.items()))
-    total = F.aggregate(shares, F.lit(0.0), lambda s, x: s + x["n"])
-    top = F.array_max(shares)
-    return F.struct(F.when(top["n"] > 0, top["family"]).alias("family"), (top["n"] / total).alias("share"))
-
-
-def letter_features(text: Column) -> Column:
-    """Letter groups of 1 to 4 and whole words, in lower case without digits."""
-    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "), F.lit(" "))
-    size = F.length(plain)
-    grams = [F.transform(F.sequence(F.lit(1), F.greatest(size - (k - 1), F.lit(1))), lambda i, k=k: F.concat(F.lit(str(k)), F.substring(plain, i, F.lit(k)))) for k in (1, 2, 3, 4)]
-    words = F.transform(F.split(F.trim(plain), " "), lambda w: F.concat(F.lit("w"), w))
-    return F.concat(*grams, words)
+def scripts_of(text: str) -> tuple[str | None, float]:
+    """The family most letters belong to (None without letters) and its share."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    counts = {f: WEIGHT.get(f, 1.0) * sum(int(((points >= a) & (points <= b)).sum()) for a, b in ranges) for f, ranges in SCRIPTS.items()}
+    total = sum(counts.values())
+    if not total:
+        return None, 0.0
+    top = max(counts, key=lambda f: (counts[f], f))
+    return top, counts[top] / total
+
+
+def letter_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, place, value): hashed letter groups of 1 to GROUPS and words of each text, each text scaled to length 1.
+
+    All texts of a batch are hashed together: letters in lower case, anything
+    else as one space, groups that reach into the next text left out.
+    """
+    plain = [f" {' '.join(WORDS.findall(t.lower()))} " for t in texts]
+    sizes = np.array([len(p) for p in plain])
+    points = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    owners, hashes = [], []
+    rolled = np.zeros(len(points), np.uint64)
+    for k in range(1, min(GROUPS, len(points)) + 1):
+        rolled = (rolled[: len(points) - k + 1] + points[k - 1 :] + np.uint64(1)) * odd
+        rolled ^= rolled >> np.uint64(29)
+        whole = owner[: len(rolled)] == owner[k - 1 :]
+        owners.append(owner[: len(rolled)][whole])
+        hashes.append(rolled[whole] + np.uint64(k))
+    starts = np.flatnonzero((points != 32) & np.concatenate([[True], points[:-1] == 32]))
+    if len(starts):
+        inner = points != 32
+        at = np.arange(len(points)) - np.repeat(starts, np.diff(np.append(starts, len(points)))) if starts[0] == 0 else np.concatenate([np.zeros(starts[0], np.int64), np.arange(starts[0], len(points)) - np.repeat(starts, np.diff(np.append(starts, len(points))))])
+        mixed = (points * odd) * ((at.astype(np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)) * inner
+        words = np.add.reduceat(mixed, starts)
+        owners.append(owner[starts])
+        hashes.append(words ^ np.uint64(0x5BD1E995))
+    owner, h = np.concatenate(owners), np.concatenate(hashes) * odd
+    place = (h >> np.uint64(64 - WIDTH.bit_length() + 1)).astype(np.int64)
+    seen = np.unique(owner * WIDTH + place)
+    owner, place = seen // WIDTH, seen % WIDTH
+    return owner, place, (1 / np.sqrt(np.bincount(owner, minlength=len(texts))))[owner]
+
+
+def fit_machine(features: tuple[np.ndarray, np.ndarray, np.ndarray], y: np.ndarray, firmness: float) -> np.ndarray:
+    """Weights (the last one is the bias) of a linear support vector machine with squared hinge loss; both classes weigh the same.
+
+    Accelerated gradient descent; y is 1 or -1.
+    """
+    owner, place, value = features
+    n = len(y)
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    w, ahead = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
+    rate = 1 / (2 * 2 + firmness)  # squared features and bias are 1 each
+    for t in range(STEPS):
+        margin = np.bincount(owner, ahead[place] * value, n) + ahead[-1]
+        push = -2 * share * y * np.maximum(0, 1 - y * margin)
+        slope = np.append(np.bincount(place, push[owner] * value, WIDTH), push.sum())
+        slope[:-1] += firmness * ahead[:-1]
+        after = ahead - rate * slope
+        ahead = after + t / (t + 3) * (after - w)
+        w = after
+    return w
+
+
+def margins(features: tuple[np.ndarray, np.ndarray, np.ndarray], w: np.ndarray, n: int) -> np.ndarray:
+    owner, place, value = features
+    return np.bincount(owner, w[place] * value, n) + w[-1]
+
+
+def fit_pair(sample: pd.DataFrame) -> pd.DataFrame:
+    """The machine of one pair's sample (pair, sentence, y), in the order of its rows' hashes.
+
+    Strong regularisation learns the bulk, not the wrong labels; labels that
+    the first machine contradicts are taken for wrong.
+    """
+    sample = sample.sort_values(["lot", "sentence"])
+    y = np.where(sample["y"].to_numpy() > 0, 1.0, -1.0)
+    owner, place, value = features = letter_features(list(sample["sentence"]))
+    first = margins(features, fit_machine(features, y, 0.1), len(y))
+    right = (first > 0) == (y > 0)
+    kept = right[owner]
+    number = np.cumsum(right) - 1
+    w = fit_machine((number[owner[kept]], place[kept], value[kept]), y[right], 0.02)
+    return pd.DataFrame({"pair": [sample["pair"].iloc[0]], "w": [w]})
 
 
 def sentence_units(chunks: DataFrame, graphs: DataFrame) -> DataFrame:
@@ -73,56 +159,63 @@ def sentence_units(chunks: DataFrame, graphs: DataFrame) -> DataFrame:
     rows = chunks.where("origin = 'text' and text is not null").select("chunk_id", "graph_id", "text")
     labels = graphs.select("graph_id", label_language(F.col("preproc_language")).alias("label")).groupBy("graph_id").agg(F.max("label").alias("label"))
     rows = rows.join(labels, "graph_id", "left").select("chunk_id", "label", "text")
-    spans = units.spans_of(rows, units.fit(rows.select("text")), ["chunk_id", "label", "text"])
-    cut = spans.select("chunk_id", "label", "start_pos", "end_pos", F.expr("substring(text, start_pos + 1, end_pos - start_pos)").alias("sentence"))
-    return cut.withColumn("f", family(F.col("sentence"))).select("*", "f.family", "f.share").drop("f")
+    spans = units.spans_of(rows, units.fit(rows.select("text")), ["chunk_id"], ["label", "text"])
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["sentence"] = [t[a:b] for t, a, b in zip(batch["text"], batch["start_pos"], batch["end_pos"], strict=True)]
+            found = [scripts_of(x) for x in batch["sentence"]]
+            batch["family"], batch["share"] = [f for f, _ in found], [x for _, x in found]
+            yield batch.drop(columns="text")
 
-def fit_machine(sample: DataFrame, firmness: float) -> LinearSVCModel:
-    """Both languages weigh the same, however many sentences each has."""
-    n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
-    weight = F.when(F.col("y") == 1.0, F.lit(0.5 / max(1, n.get(1.0, 0)))).otherwise(F.lit(0.5 / max(1, n.get(0.0, 0))))
-    model = LinearSVC(labelCol="y", weightCol="w", maxIter=60, regParam=firmness, standardization=False)
-    return model.fit(sample.withColumn("w", weight * sum(n.values()))).setFeaturesCol("features").setRawPredictionCol("raw").setPredictionCol("p")
+    kind = rows.schema["chunk_id"].dataType.simpleString()
+    return spans.mapInPandas(cut, f"chunk_id {kind}, label string, start_pos int, end_pos int, sentence string, family string, share double")
 
 
-def machines(rows: DataFrame, fit_rows: int = FIT_ROWS) -> dict[tuple[str, str], LinearSVCModel]:
+def machines(rows: DataFrame, fit_rows: int = FIT_ROWS) -> dict[tuple[str, str], np.ndarray]:
     """A support vector machine for each pair of languages of a family; positive margins mean the second."""
-    out = {}
-    for name, languages in FAMILIES.items():
-        for a, b in combinations(languages, 2):
-            known = rows.where((F.col("family") == name) & F.col("label").isin(a, b) & (F.length("sentence") >= 20))
-            counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
-            if len(counts) < 2:
-                continue
-            each = {k: min(1.0, fit_rows / 2 / n) for k, n in counts.items()}
-            lot = F.pmod(F.xxhash64("chunk_id", "start_pos"), F.lit(1_000_000))
-            sample = known.where(lot < F.when(F.col("label") == a, F.lit(int(each[a] * 1e6))).otherwise(F.lit(int(each[b] * 1e6))))
-            sample = materialize(sample.select("features", (F.col("label") == b).cast("double").alias("y")), "language-sample")
-            # strong regularisation learns the bulk, not the wrong labels; labels that the
-            # first machine contradicts are taken for wrong
-            first = fit_machine(sample, 0.1)
-            out[a, b] = fit_machine(first.transform(sample).where("p = y").select("features", "y"), 0.02)
-    return out
+    pairs = {f"{a} {b}": (name, a, b) for name, languages in FAMILIES.items() for a, b in combinations(languages, 2)}
+    each = [F.struct(F.lit(p).alias("pair"), (F.col("label") == b).cast("double").alias("y"), ((F.col("family") == name) & F.col("label").isin(a, b)).alias("fits")) for p, (name, a, b) in pairs.items()]
+    known = rows.where(F.length("sentence") >= FIT_LENGTH).select("chunk_id", "start_pos", "sentence", F.explode(F.array(*each)).alias("x")).where("x.fits")
+    known = known.select("x.pair", "x.y", "sentence", F.pmod(F.xxhash64("chunk_id", "start_pos"), F.lit(1_000_000)).alias("lot"))
+    counts = {(r["pair"], r["y"]): r["n"] for r in known.groupBy("pair", "y").agg(F.count("*").alias("n")).collect()}  # two rows a pair
+    keep = F.lit(0)
+    for (p, y), n in counts.items():
+        if len([1 for q, _ in counts if q == p]) == 2:
+            keep = F.when((F.col("pair") == p) & (F.col("y") == y), F.lit(int(min(1.0, fit_rows / 2 / n) * 1_000_000))).otherwise(keep)
+    fitted = known.where(F.col("lot") < keep).groupBy("pair").applyInPandas(fit_pair, "pair string, w array<double>").collect()  # a row for each pair of FAMILIES
+    return {pairs[r["pair"]][1:]: np.array(r["w"]) for r in fitted}
 
 
 def sentence_languages(chunks: DataFrame, graphs: DataFrame) -> DataFrame:
     """(chunk_id, start_pos, end_pos, label, lang, margin, confidence) of every sentence."""
     rows = materialize(sentence_units(chunks, graphs), "language-units")
-    hashed = HashingTF(inputCol="grams", outputCol="counts", numFeatures=WIDTH, binary=True).transform(rows.withColumn("grams", letter_features(F.col("sentence"))))
-    hashed = Normalizer(inputCol="counts", outputCol="features").transform(hashed).drop("grams", "counts")
-    lang = F.lit(None).cast("string")
-    margin = F.lit(10.0)
-    for name, languages in FAMILIES.items():
-        lang = F.when(F.col("family") == name, F.lit(languages[0])).otherwise(lang)
-    for (a, b), model in machines(hashed).items():
-        name = next(f for f, languages in FAMILIES.items() if a in languages)
-        hashed = model.transform(hashed)
-        hashed = hashed.withColumn(f"m_{a}_{b}", vector_to_array("raw")[1]).drop("raw", "p")
-        here = F.col("family") == name
-        lang = F.when(here, F.when(F.col(f"m_{a}_{b}") > 0, F.lit(b)).otherwise(F.lit(a))).otherwise(lang)
-        margin = F.when(here, F.abs(F.col(f"m_{a}_{b}"))).otherwise(margin)
-    out = hashed.withColumn("lang", lang).withColumn("margin", margin)
+    fitted = machines(rows)
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            family = batch["family"].to_numpy()
+            lang = np.array([FAMILIES[f][0] if f else None for f in family], object)
+            margin = np.full(len(batch), 10.0)
+            for name, languages in FAMILIES.items():
+                at = np.flatnonzero(family == name)
+                machine = {p: w for p, w in fitted.items() if p[0] in languages}
+                if not machine or not len(at):
+                    continue
+                features = letter_features([batch["sentence"].iat[i] for i in at])
+                votes = np.zeros((len(at), len(languages)))
+                near = np.full(len(at), np.inf)
+                for (a, b), w in machine.items():
+                    m = margins(features, w, len(at))
+                    votes[:, languages.index(b)] += m > 0
+                    votes[:, languages.index(a)] += m <= 0
+                    near = np.minimum(near, np.abs(m))
+                lang[at] = np.array(languages, object)[votes.argmax(axis=1)]
+                margin[at] = near
+            yield pd.DataFrame({"chunk_id": batch["chunk_id"], "start_pos": batch["start_pos"], "end_pos": batch["end_pos"], "label": batch["label"], "share": batch["share"], "lang": lang, "margin": margin})
+
+    kind = rows.schema["chunk_id"].dataType.simpleString()
+    out = rows.mapInPandas(judged, f"chunk_id {kind}, start_pos int, end_pos int, label string, share double, lang string, margin double")
     order = Window.partitionBy("chunk_id").orderBy("start_pos")
     filled = out.withColumn("lang", F.coalesce("lang", F.last("lang", True).over(order), F.first("lang", True).over(order.rowsBetween(0, Window.unboundedFollowing))))
     before, after = F.lag("lang").over(order), F.lead("lang").over(order)
