@@ -36,9 +36,10 @@ FIT_ROWS = 12_000  # bound of the fitting sample of each pair
 WIDTH = 1 << 14
 GROUPS = 4  # longest letter group
 STEPS = 60
+FIRM, LOOSE = 0.03, 0.003  # regularisation of the first and of the second machine
 UNSURE = 0.5  # margin below which a brief unit (a heading, a number line) follows its neighbours
 BRIEF = 40
-FAINT = 0.12  # the same for any unit
+FAINT = 0.05  # the same for any unit
 FIT_LENGTH = 20  # shortest sentence to learn from
 
 # Families by script, and the usual codes of the languages.
@@ -78,7 +79,7 @@ def scripts_of(text: str) -> tuple[str | None, float]:
 
 
 def letter_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, place, value): hashed letter groups of 1 to GROUPS and words of each text, each text scaled to length 1.
+    """(owner, place, value): hashed letter groups of 1 to GROUPS and words of each text; what recurs adds up.
 
     All texts of a batch are hashed together: letters in lower case, anything
     else as one space, groups that reach into the next text left out.
@@ -106,8 +107,6 @@ def letter_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         hashes.append(words ^ np.uint64(0x5BD1E995))
     owner, h = np.concatenate(owners), np.concatenate(hashes) * odd
     place = (h >> np.uint64(64 - WIDTH.bit_length() + 1)).astype(np.int64)
-    seen = np.unique(owner * WIDTH + place)
-    owner, place = seen // WIDTH, seen % WIDTH
     return owner, place, (1 / np.sqrt(np.bincount(owner, minlength=len(texts))))[owner]
 
 
@@ -120,7 +119,9 @@ def fit_machine(features: tuple[np.ndarray, np.ndarray, np.ndarray], y: np.ndarr
     n = len(y)
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w, ahead = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
-    rate = 1 / (2 * 2 + firmness)  # squared features and bias are 1 each
+    cells, times = np.unique(owner * WIDTH + place, return_counts=True)
+    size = np.bincount(cells // WIDTH, times.astype(float) ** 2, n) * np.bincount(owner, value**2, n) / np.maximum(np.bincount(owner, minlength=n), 1)
+    rate = 1 / (2 * ((share * size).sum() + 1) + firmness)  # the slope changes no faster than the mean squared length of a row, its bias with it
     for t in range(STEPS):
         margin = np.bincount(owner, ahead[place] * value, n) + ahead[-1]
         push = -2 * share * y * np.maximum(0, 1 - y * margin)
@@ -146,11 +147,11 @@ def fit_pair(sample: pd.DataFrame) -> pd.DataFrame:
     sample = sample.sort_values(["lot", "sentence"])
     y = np.where(sample["y"].to_numpy() > 0, 1.0, -1.0)
     owner, place, value = features = letter_features(list(sample["sentence"]))
-    first = margins(features, fit_machine(features, y, 0.1), len(y))
+    first = margins(features, fit_machine(features, y, FIRM), len(y))
     right = (first > 0) == (y > 0)
     kept = right[owner]
     number = np.cumsum(right) - 1
-    w = fit_machine((number[owner[kept]], place[kept], value[kept]), y[right], 0.02)
+    w = fit_machine((number[owner[kept]], place[kept], value[kept]), y[right], LOOSE)
     return pd.DataFrame({"pair": [sample["pair"].iloc[0]], "w": [w]})
 
 

@@ -1,17 +1,27 @@
 """Keyword-stuffed pages, link lists and product tag lists.
 
-Content and link features are built-in Spark expressions over the whole text.
-Weak labels come from clear cases on both sides; bagged decision trees (every
-tree on a bootstrap sample, all features open at every split) are fitted on a
-bounded hash sample of them and predict each page. Page predictions are then
-smoothed with the spam rate of the page's host.
+Content and link features are taken in one Arrow pass over the whole texts.
+Weak labels are votes: eight signs of spam and seven of true text, none of
+which decides alone. A page is labelled only where the votes of one side are
+clearly ahead; the rest has no label. Bagged decision trees (every tree on a
+bootstrap sample, all features open at every split) are fitted on a bounded
+hash sample of the labelled pages and judge every page, labelled or not. Page
+predictions are then smoothed with the spam rate of the page's host.
 
 Defined results: null, empty, blank and very short texts are no case; a null
-site is smoothed with the rate of all pages; an empty table gives no rows.
+site is smoothed with the rate of all pages; an empty table gives no rows;
+where labels of one side are missing no trees can be fitted and no page is a
+case unless it is labelled.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+from operator import add
+
+import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,72 +37,111 @@ DEPTH = 7
 HOST_PRIOR = 200.0
 HOST_WEIGHT = 0.3
 
-URL = r"(?i)https?://\S++|(?<![\w.:/-])(?:www\.\S++|[\w-]++(?:\.[\w-]++)++/\S*+)"
-TAG = r"#[\p{L}\p{M}\p{N}_]+"
-CODE = r"\b[A-Z]{1,3}\d{4,}\b"
-STOP = r"[.!?…。！？।॥]"
-FULL_STOP = r"[.!?…](?=[\s\"”»’)\]]|$)|[。！？।॥]"
-PIECE = r"[^.!?…。！？।॥\n|#>•·»*]++[.!?…。！？।॥]?+"  # always matches up to the next stop or break, so the scan is linear
-SEPARATOR = r"[,;|>•·»*/–\n]|\s-\s"
-
-FEATURES = ["url_share", "tag_share", "code_rate", "prose_share", "stop_rate", "sep_rate", "repeat_share", "pair_repeat", "line_stop_share", "words_per_line", "digit_share", "token_length", "long_token_share", "words_per_stop", "separator_repeat"]
+URL = re.compile(r"https?://\S++|(?<![\w.:/-])(?:www\.\S++|[\w-]++(?:\.[\w-]++)++/\S*+)", re.I)
+HOST = re.compile(r"(?:https?://)?(?:www\.)?([^/\s:]+)", re.I)
+TAG = re.compile(r"#\w+")
+CODE = re.compile(r"\b[A-Z]{1,3}\d{4,}\b")
+DIGITS = re.compile(r"\d+")
+STOPS = tuple(".!?…。！？।॥")
+FULL_STOP = re.compile(r"[.!?…](?=[\s\"”»’)\]]|$)|[。！？।॥]")
+PIECE = re.compile(r"[^.!?…。！？।॥\n|#>•·»*]++[.!?…。！？।॥]?+")
+SEPARATOR = re.compile(r"[,;|>•·»*/–\n]|\s-\s")
+BETWEEN = re.compile(r"[\s,;|>•·»*/#–]+")
+LISTED = re.compile(r"^\s*[\[(]?\d|\d\s*$")
+CLOSING = " \t\r\"”»’)"
+
+FEATURES = [
+    "url_share", "tag_share", "code_rate", "prose_share", "stop_rate", "sep_rate", "repeat_share", "pair_repeat", "line_stop_share", "words_per_line", "digit_share", "token_length", "long_token_share", "words_per_stop",
+    "separator_repeat", "top_share", "listed_share", "links", "link_lines", "link_hosts", "own_links",
+]
+
+
+def repeated(parts: list) -> float:
+    return 1 - len(set(parts)) / len(parts) if parts else 0.0
+
+
+def page_features(text: str, site: str | None) -> tuple[float, ...] | None:
+    """FEATURES of a page; None for a short one."""
+    size = len("".join(text.split()))
+    if size < SHORT:
+        return None
+    urls = URL.findall(text) if "/" in text or "www." in text.lower() else []
+    bare = URL.sub("|", text) if urls else text
+    low = bare.lower()
+    tokens = [t for t in BETWEEN.split(low) if t]
+    n = max(len(tokens), 1)
+    stops = len(FULL_STOP.findall(low))
+    lines = [x for x in text.split("\n") if x.strip()]
+    n_lines = max(len(lines), 1)
+    prose = sum(len(p) for p in PIECE.findall(bare) if len(p) > 15 and p.endswith(STOPS) and (p.count(",") + 1) * 14 < len(p) + 56)
+    parts = [p for p in map(str.strip, SEPARATOR.split(low)) if p]
+    digits = DIGITS.findall(bare)
+    hosts = [m[1].lower() for m in map(HOST.match, urls) if m]
+    return (
+        sum(map(len, urls)) / size,
+        sum(map(len, TAG.findall(text))) / size if "#" in text else 0.0,
+        len(CODE.findall(text)) / n if any(len(d) > 3 for d in digits) else 0.0,
+        min(1.0, prose / max(1, len(bare))),
+        stops * 100 / size,
+        len(SEPARATOR.findall(text)) / n,
+        repeated(tokens),
+        repeated(list(zip(tokens, tokens[1:]))),
+        sum(x.rstrip(CLOSING).endswith(STOPS) for x in lines) / n_lines,
+        n / n_lines,
+        sum(map(len, digits)) / size,
+        size / n,
+        sum(len(t) for t in tokens if len(t) >= 18) / size,
+        min(n / max(1, stops), 100.0),
+        repeated(parts),
+        sum(c for _, c in Counter(tokens).most_common(5)) / n,
+        sum(bool(LISTED.search(x)) for x in bare.split("\n") if x.strip()) / n_lines if len(lines) > 2 else 0.0,
+        len(urls) * 100 / n,
+        sum(bool(URL.search(x)) for x in lines) / n_lines if urls else 0.0,
+        len(set(hosts)) / len(hosts) if hosts else 0.0,
+        sum(bool(site) and h.endswith(site.lower()) for h in hosts) / len(hosts) if hosts else 0.0,
+    )
 
 
-def total_length(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda s, x: s + F.length(x)).cast("double")
+def feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = [(doc, site, *found) for doc, site, text in batch[["doc_id", "site", "text"]].itertuples(index=False) if (found := page_features(text, site)) is not None]
+        yield pd.DataFrame(out, columns=["doc_id", "site", *FEATURES])
 
 
-def repeated(parts: Column) -> Column:
-    n = F.size(parts)
-    return F.when(n > 0, 1 - F.size(F.array_distinct(parts)) / n).otherwise(0.0)
+def features(docs: DataFrame) -> DataFrame:
+    """(doc_id, site, the features) of the pages that are long enough."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "site", "text").where("text is not null")
+    return rows.mapInPandas(feature_rows, f"doc_id {kind}, site string, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, site, the features): one narrow pass over the texts."""
-    text, size = F.col("text"), F.col("size")
-    found = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rows = docs.select("doc_id", "site", "text").where("text is not null").withColumn("size", F.length(F.regexp_replace(text, r"\s+", "")).cast("double")).where(size >= SHORT)
-    rows = rows.withColumn("bare", F.lower(F.regexp_replace(text, URL, " ")))
-    rows = rows.withColumn("tokens", F.filter(F.split("bare", r"[\s,;|>•·»*/#–]+"), lambda x: x != ""))
-    rows = rows.withColumn("parts", F.filter(F.transform(F.split("bare", SEPARATOR), lambda x: F.trim(x)), lambda x: x != ""))
-    rows = rows.withColumn("lines", F.filter(F.split("text", r"\n"), lambda x: F.length(F.trim(x)) > 0))
-    tokens = F.col("tokens")
-    n = F.greatest(F.size(tokens), F.lit(1)).cast("double")
-    pairs = F.when(F.size(tokens) > 1, F.zip_with(F.slice(tokens, 1, F.size(tokens) - 1), F.slice(tokens, 2, F.size(tokens) - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    prose = F.filter(F.regexp_extract_all(F.regexp_replace(text, URL, "|"), F.lit(PIECE), F.lit(0)), lambda x: (F.length(x) > 15) & x.rlike(STOP + "$") & (F.size(F.split(x, ",")) * 14 < F.length(x) + 56))
-    return rows.select(
-        "doc_id",
-        "site",
-        (total_length(found(URL)) / size).alias("url_share"),
-        (total_length(found(TAG)) / size).alias("tag_share"),
-        (F.size(found(CODE)) / n).alias("code_rate"),
-        F.least(total_length(prose) / F.length(text), F.lit(1.0)).alias("prose_share"),
-        (F.size(F.regexp_extract_all(F.col("bare"), F.lit(FULL_STOP), F.lit(0))) * 100 / size).alias("stop_rate"),
-        (F.size(found(SEPARATOR)) / n).alias("sep_rate"),
-        repeated(tokens).alias("repeat_share"),
-        repeated(pairs).alias("pair_repeat"),
-        (F.size(F.filter("lines", lambda x: x.rlike(STOP + r"[\s\"”»’)]*$"))) / F.greatest(F.size("lines"), F.lit(1))).alias("line_stop_share"),
-        (n / F.greatest(F.size("lines"), F.lit(1))).alias("words_per_line"),
-        (F.size(found(r"\p{Nd}")) / size).alias("digit_share"),
-        (size / n).alias("token_length"),
-        (total_length(F.filter(tokens, lambda x: F.length(x) >= 18)) / size).alias("long_token_share"),
-        F.least(n / F.greatest(F.size(F.regexp_extract_all(F.col("bare"), F.lit(FULL_STOP), F.lit(0))), F.lit(1)), F.lit(100.0)).alias("words_per_stop"),
-        repeated(F.col("parts")).alias("separator_repeat"),
-    )
+def votes() -> tuple[Column, Column]:
+    """(signs of spam, signs of true text): numbers of independent signs that a page shows."""
+    c = F.col
+    spaced = c("long_token_share") <= 0.5
+    spam = [
+        c("url_share") > 0.5, c("tag_share") > 0.35, c("code_rate") > 0.06, (c("pair_repeat") > 0.5) & spaced, (c("top_share") > 0.5) & (c("repeat_share") > 0.6) & spaced, c("sep_rate") > 0.3,
+        (c("stop_rate") < 0.3) & (c("prose_share") < 0.1) & spaced, (c("words_per_stop") < 4.5) & (c("repeat_share") > 0.65),
+    ]
+    true = [
+        (c("prose_share") > 0.7) & (c("words_per_stop") > 4.5), (c("stop_rate") > 1) & (c("stop_rate") < 5), (c("pair_repeat") < 0.3) & (c("repeat_share") < 0.5), (c("words_per_stop") > 5) & (c("words_per_stop") < 25), c("line_stop_share") > 0.6,
+        c("listed_share") > 0.6, (c("digit_share") > 0.08) & (c("pair_repeat") < 0.3),
+    ]
+    count = lambda signs: add_all([x.cast("int") for x in signs])
+    return count(spam), count(true)
+
+
+def add_all(columns: list[Column]) -> Column:
+    out = columns[0]
+    for c in columns[1:]:
+        out = add(out, c)
+    return out
 
 
 def weak_label() -> Column:
-    """1.0 and 0.0 for clear pages, null for the others."""
-    c = F.col
-    unspaced = (c("long_token_share") > 0.5) & (c("pair_repeat") < 0.2) & (c("repeat_share") < 0.5)
-    listed = (c("prose_share") < 0.3) & ~unspaced & (c("digit_share") < 0.3)
-    spam = listed & ((c("url_share") > 0.35) | (c("tag_share") > 0.35) | (c("code_rate") > 0.06) | (c("pair_repeat") > 0.5))
-    spam = spam | (listed & (c("sep_rate") > 0.25) & (c("repeat_share") > 0.3) & (c("stop_rate") < 0.3) & (c("digit_share") < 0.1))
-    true = (c("stop_rate") > 4) | ((c("prose_share") > 0.4) & (c("stop_rate") > 1.5)) | ((c("prose_share") > 0.5) & (c("pair_repeat") < 0.6)) | unspaced | (c("digit_share") > 0.4) | ((c("stop_rate") > 0.8) & (c("url_share") < 0.2) & (c("tag_share") < 0.05) & (c("code_rate") < 0.02))
-    # keywords in turn, each made a sentence of a few words
-    chopped = (c("words_per_stop") < 4.5) & (c("repeat_share") > 0.65) & (c("digit_share") < 0.3) & ~unspaced
-    spam, true = spam | chopped, true & ~chopped
-    return F.when(spam & ~true, 1.0).when(true & ~spam, 0.0)
+    """1.0 and 0.0 where one side's votes are clearly ahead, null elsewhere."""
+    spam, true = votes()
+    return F.when((spam >= true + 2) | ((spam >= 3) & (spam >= true)), 1.0).when(true >= spam + 2, 0.0)
 
 
 def logit(p: Column) -> Column:
@@ -101,25 +150,27 @@ def logit(p: Column) -> Column:
 
 
 def scored(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """(doc_id, site, page_score, score): the trees' prediction and the smoothed one."""
+    """(doc_id, site, label, page_score, score): weak label, the trees' prediction and the smoothed one."""
     rows = materialize(features(docs).withColumn("label", weak_label()), "spam-features")
-    n = rows.where("label is not null").agg(F.count("*").alias("n"), F.sum("label").alias("spam")).first()
-    if not n["n"] or not n["spam"] or n["spam"] == n["n"]:
-        scores = rows.select("doc_id", "site", F.coalesce("label", F.lit(0.0)).alias("page_score"))
+    counts = {r["label"]: r["n"] for r in rows.where("label is not null").groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    if len(counts) < 2:
+        scores = rows.select("doc_id", "site", "label", F.coalesce("label", F.lit(0.0)).alias("page_score"))
     else:
-        keep = min(1.0, fit_rows / n["n"])
-        known = rows.where("label is not null").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(keep * 1_000_000))
+        # up to a half of the sample from each side, so that rare spam is seen
+        lot = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+        share = {k: int(min(1.0, fit_rows / 2 / n) * 1_000_000) for k, n in counts.items()}
+        known = rows.where(lot < F.when(F.col("label") == 1.0, share[1.0]).when(F.col("label") == 0.0, share[0.0]))
         gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
         trees = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="all", subsamplingRate=1.0, seed=11, probabilityCol="p")
         model = trees.fit(gather.transform(known).select("features", "label"))
-        scores = model.transform(gather.transform(rows)).select("doc_id", "site", vector_to_array("p")[1].alias("page_score"))
+        scores = model.transform(gather.transform(rows)).select("doc_id", "site", "label", vector_to_array("p")[1].alias("page_score"))
         scores = materialize(scores, "spam-scores")
     overall = scores.agg(F.coalesce(F.avg("page_score"), F.lit(0.0)).alias("rate")).first()["rate"]
     hosts = scores.where("site is not null").groupBy("site").agg(F.sum("page_score").alias("s"), F.count("*").alias("n"))
     hosts = hosts.select("site", ((F.col("s") + HOST_PRIOR * overall) / (F.col("n") + HOST_PRIOR)).alias("rate"))
     joined = scores.join(hosts, "site", "left")
     shift = HOST_WEIGHT * (logit(F.coalesce("rate", F.lit(overall))) - logit(F.lit(overall)))
-    return joined.select("doc_id", "site", "page_score", (1 / (1 + F.exp(-(logit(F.col("page_score")) + shift)))).alias("score"))
+    return joined.select("doc_id", "site", "label", "page_score", (1 / (1 + F.exp(-(logit(F.col("page_score")) + shift)))).alias("score"))
 
 
 def found(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
