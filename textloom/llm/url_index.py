@@ -1,17 +1,27 @@
 """Batches of document URLs against a persisted inverted file of everything accepted before.
 
-A URL is reduced to host and item; the item's exact part (number, handle and
-file, hash, DOI) names a list of cells, its title is a full vector of letter
-counts, kept with the title itself. A cell of the list holds the vectors whose
-distance from the list's centre (the zero vector) falls in one ring. As a slip
-of a letter moves a vector by at most 2, a probe opens only the rings within
-the bound and none beyond can hold a match; what it meets is reranked exactly
-by edit distance. New items are appended to their cells, so a batch reads the
-compact index, never the rows of earlier batches.
+A URL is reduced to its exact part (host with number, handle and file, hash,
+DOI, or the numbers of a title) and a title; the title's full vector are its
+letter counts. The index is an inverted file: a list for each cell, a cell
+being the exact part and the ranges in which the sums of the vector's thirds
+fall. A slip of a letter moves each sum by at most 1 and the vector by at most
+2, so with a bound on slips a probe opens only the cells whose ranges are
+within that bound, and no vector in another cell can match. What a probe meets
+is filtered by vector distance and reranked exactly by edit distance. Exact
+parts are never near each other, so they need one cell only.
+
+Texts that match are linked; links are closed within a batch, and where a new
+text links two documents accepted before, they become one: the index notes
+which document went into which. So the result doesn't depend on how the rows
+are cut into batches. A batch reads the lists of its buckets and appends its
+new texts, never the rows of earlier batches.
+
+Two titles match if their exact parts are equal and they are at most SLIPS
+edits apart (two slips each), and no more than a fourth of the shorter one.
 
 Defined results: null, blank and non-URL values are no case; a redelivered row
 (same id) isn't its own duplicate; within a batch the smallest id is the first;
-titles without any number match exactly; extra columns are not read.
+rows without batch number come last; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -19,18 +29,20 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from urllib.parse import unquote
+from collections.abc import Iterator
+from urllib.parse import parse_qsl, unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.session import batched, materialize, shared_dir
+from textloom.session import materialize, shared_dir
 
-# Two titles of one document have up to two slips each.
 SLIPS = 4
-RING = 8
 DIM = 32
-BUCKETS = 8
+THIRDS = ((0, 11), (11, 22), (22, DIM))
+RANGE = 9  # width of a cell in each sum; a probe opens at most two ranges of each
+BUCKET_ROWS = 250_000
 
 LEAD = re.compile(r"^[\s\"'<(\[]*(?:url=)?[\s\"'<(\[]*", re.I)
 SCHEMES = re.compile(r"^(?:https?:/+)+", re.I)
@@ -42,7 +54,9 @@ HASH = re.compile(r"^[0-9a-f]{32,}$")
 NUMBER = re.compile(r"^(\d{4}\.\d{4,})(?:v\d+)?$")
 BITSTREAM = re.compile(r"bitstream/(\d+/\d+)/(?:\d+/)?([^/]+)$")
 # Path parts that name no item.
-PLAIN_PARTS = frozenset({"pdf", "main", "download", "fetch", "fulltext", "view", "article", "articles", "doi"})
+PLAIN_PARTS = frozenset({"pdf", "main", "download", "fetch", "get", "fulltext", "view", "article", "articles", "doi"})
+# Query parameters that name no item.
+PLAIN_KEYS = re.compile(r"^(?:utm_\w*|ref|from|src|source|sid|session|token|page|download|v|version|lang)$", re.I)
 
 
 def item_of(url: str | None) -> tuple[str, str] | None:
@@ -60,109 +74,184 @@ def item_of(url: str | None) -> tuple[str, str] | None:
     host = named[1].lower().rstrip(".")
     path, _, query = text[named.end() :].partition("?")
     path = unicodedata.normalize("NFC", unquote(re.sub(r";[^/]*", "", path).replace("+", " "))).casefold()
-    path = TRAIL.sub("", path)
-    path = FILE_END.sub("", path)
+    path = FILE_END.sub("", TRAIL.sub("", path))
     parts = [p.strip() for p in path.split("/") if p.strip() not in ("", ".")]
-    whole = "/".join(parts)
-    doi = DOI.search(whole) or DOI.search(TRAIL.sub("", unquote(query)).casefold())
-    if doi:
-        return f"{host}|doi|{FILE_END.sub('', doi[0])}", ""
-    stream = BITSTREAM.search(whole)
-    if stream:
-        return f"{host}|file|{stream[1]}|{stream[2]}", ""
+    asked = TRAIL.sub("", query)
+    values = [FILE_END.sub("", TRAIL.sub("", unicodedata.normalize("NFC", v).casefold())) for k, v in parse_qsl(asked) if not PLAIN_KEYS.match(k)]
+    places = ["/".join(parts), *values]
+    for place in [*places, unquote(asked).casefold()]:
+        if doi := DOI.search(place):
+            return f"{host}|doi|{FILE_END.sub('', doi[0])}", ""
+    for place in places:
+        if stream := BITSTREAM.search(place):
+            return f"{host}|file|{stream[1]}|{stream[2]}", ""
     named_parts = [p for p in parts if p not in PLAIN_PARTS]
     last = named_parts[-1] if named_parts else ""
-    if HASH.match(last):
-        return f"{host}|hash|{last}", ""
-    number = NUMBER.match(last)
-    if number:
-        return f"{host}|number|{number[1]}", ""
+    for name in [last, *(v.rsplit("/", 1)[-1] for v in values)]:
+        if HASH.match(name):
+            return f"{host}|hash|{name}", ""
+        if number := NUMBER.match(name):
+            return f"{host}|number|{number[1]}", ""
+    if not last:
+        last = next((v for v in values if any(c.isalpha() for c in v)), "")
     if not last:
-        extra = TRAIL.sub("", unquote(query)).casefold()
-        return (f"{host}|query|{extra}", "") if extra else None
+        return (f"{host}|query|{'&'.join(sorted(values))}", "") if values else None
     digits = re.findall(r"\d+", last)
     title = "".join(c for c in last if not c.isdigit() and (c.isalpha() or unicodedata.category(c)[0] == "M"))
-    if not digits:
-        return f"{host}|name|{title}", ""
     return f"{host}|titled|{'.'.join(digits)}", title
 
 
-def joined_item(url: str | None) -> str | None:
-    item = item_of(url)
-    return None if item is None else "\x1f".join(item)
+def letter_counts(title: str) -> list[int]:
+    """The title's full vector: counts of its letters in DIM places."""
+    out = [0] * DIM
+    for c in title:
+        out[(ord(c) * 7 + (ord(c) >> 5)) % DIM] += 1
+    return out
+
 
+def item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = []
+        for no, row, url in batch.itertuples(index=False):
+            item = item_of(url)
+            if item:
+                vec = letter_counts(item[1]) if item[1] else None
+                out.append((no, row, *item, vec, [sum(vec[a:b]) for a, b in THIRDS] if vec else None))
+        yield pd.DataFrame(out, columns=["batch_no", "id", "exact", "title", "vec", "sums"]).astype({"batch_no": "Int64"})
 
-def letter_counts(title: Column) -> Column:
-    """Counts of the title's letters in DIM places."""
-    place = F.transform(F.split(title, ""), lambda c: F.when(c == "", -1).otherwise(F.pmod(F.ascii(c) * 7 + F.shiftright(F.ascii(c), 5), F.lit(DIM))))
-    return F.transform(F.sequence(F.lit(0), F.lit(DIM - 1)), lambda k: F.size(F.filter(place, lambda p: p == k)))
 
+def items(rows: DataFrame) -> DataFrame:
+    """(batch_no, id, exact, title, vec, sums) of the rows that are a URL."""
+    named = rows.select(F.col("batch_no").cast("bigint").alias("batch_no"), F.col("id").cast("bigint").alias("id"), F.col("pdf_url").alias("url")).where("url is not null")
+    return named.mapInPandas(item_rows, "batch_no bigint, id bigint, exact string, title string, vec array<int>, sums array<int>")
 
-def items(batch: DataFrame) -> DataFrame:
-    """(id, cell, title) of the rows that are a URL; redelivered rows once."""
-    rows = batch.select("id", F.col("pdf_url").alias("url")).where("url is not null")
-    rows = rows.select("id", F.split(batched(joined_item, "string")("url"), "\x1f").alias("item")).where("item is not null")
-    return rows.select("id", F.col("item")[0].alias("cell"), F.col("item")[1].alias("title")).distinct()
 
+def ranges(k: int, slack: int) -> Column:
+    """Ranges of one sum that vectors within `slack` edits can fall in; range 0 for items without title."""
+    at = F.col("sums")[k]
+    low, high = F.floor(F.greatest(at - slack, F.lit(0)) / RANGE), F.floor((at + slack) / RANGE)
+    return F.when(F.col("sums").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(low, high))
 
-def with_vectors(variants: DataFrame) -> DataFrame:
-    norm = F.length("title")
-    return variants.withColumn("ring", F.floor(norm / RING).cast("int")).withColumn("vec", letter_counts(F.col("title")))
 
+def in_cells(texts: DataFrame, slack: int) -> DataFrame:
+    """Texts with `cell`, in each cell within `slack` edits; one cell for slack 0."""
+    out = texts.select("*", F.explode(ranges(0, slack)).alias("r0"))
+    for k in (1, 2):
+        out = out.select("*", F.explode(ranges(k, slack)).alias(f"r{k}"))
+    return out.withColumn("cell", F.xxhash64("exact", "r0", "r1", "r2")).drop("r0", "r1", "r2")
 
-def near(probe: DataFrame, cells: DataFrame) -> DataFrame:
-    """(cell, title, doc): for each probing item the smallest document among its matches in the cells."""
-    low = F.greatest(F.lit(0), F.floor((F.length("title") - SLIPS) / RING))
-    high = F.floor((F.length("title") + SLIPS) / RING)
-    asked = probe.select("cell", "title", "vec", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("ring"))
-    held = cells.select("cell", "ring", F.col("title").alias("known"), F.col("vec").alias("known_vec"), "doc")
-    met = asked.join(held, ["cell", "ring"])
-    apart = F.aggregate(F.zip_with("vec", "known_vec", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, x: s + x)
-    exact = F.levenshtein(F.col("title"), F.col("known"), SLIPS) >= 0  # -1 beyond the threshold
-    return met.where((apart <= 2 * SLIPS) & exact).groupBy("cell", "title").agg(F.min("doc").alias("doc"))
+
+def texts_of(rows: DataFrame) -> DataFrame:
+    """(batch_no, exact, title, id, vec, sums): the distinct texts of each batch with their smallest id."""
+    return rows.groupBy("batch_no", "exact", "title").agg(F.min("id").alias("id"), F.any_value("vec").alias("vec"), F.any_value("sums").alias("sums"))
+
+
+def matching(probes: DataFrame, held: DataFrame) -> DataFrame:
+    """(id, other, same, text): what each probing text meets in its cells; same: an equal text that is held; text: itself, once."""
+    known = held.select("cell", F.col("exact").alias("k_exact"), F.col("title").alias("k_title"), F.col("vec").alias("k_vec"), "other", "old")
+    met = probes.join(known, "cell").where(F.col("exact") == F.col("k_exact"))
+    apart = F.aggregate(F.zip_with("vec", "k_vec", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, x: s + x)
+    most = F.least(F.lit(SLIPS), F.floor(F.least(F.length("title"), F.length("k_title")) / 4)).cast("int")
+    near = (apart <= 2 * most) & (F.levenshtein(F.col("title"), F.col("k_title")) <= most)
+    equal = F.col("title") == F.col("k_title")
+    text = F.when(equal & ~F.col("old"), F.struct("cell", "exact", "title", "vec"))
+    return met.where(equal | near).select("id", "other", (equal & F.col("old")).alias("same"), text.alias("text"))
 
 
 class UrlIndex:
     """Cells under one path of the shared folder, grown by append only."""
 
-    schema = "cell string, ring int, title string, vec array<int>, doc bigint, bucket int"
+    schema = "bucket int, cell bigint, exact string, title string, vec array<int>, other bigint, batch_no bigint, fresh boolean"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 1):
+        self.spark, self.path, self.buckets = spark, path or shared_dir(spark, "url-index"), buckets
+        self.taken, self.merged = 0, None
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.empty = spark, path or shared_dir(spark, "url-index"), path is None
+    def bucket(self) -> Column:
+        return F.pmod(F.col("cell"), F.lit(self.buckets)).cast("int")
 
-    def cells(self) -> DataFrame:
-        if self.empty:
-            return self.spark.createDataFrame([], self.schema)
+    def texts(self) -> DataFrame:
+        """Every text of every batch with the document it led to at that time."""
         return self.spark.read.schema(self.schema).parquet(self.path)
 
+    def resolved(self, rows: DataFrame, column: str) -> DataFrame:
+        """Rows whose documents went into others get these."""
+        if self.merged is None:
+            return rows
+        moves = self.merged.select(F.col("doc").alias(column), "into")
+        return rows.join(moves, column, "left").withColumn(column, F.coalesce("into", column)).drop("into")
+
     def accept(self, batch: DataFrame) -> DataFrame:
-        """(id_a, id_b) of the batch's rows whose document is known or came earlier in the batch; appends what is new."""
-        rows = materialize(items(batch), "batch-items")
-        variants = with_vectors(rows.groupBy("cell", "title").agg(F.min("id").alias("doc")))
-        variants = materialize(variants, "batch-variants")
-        among = near(variants, variants)
-        known = near(variants, self.cells()) if not self.empty else None
-        both = among if known is None else among.unionByName(known)
-        docs = both.groupBy("cell", "title").agg(F.min("doc").alias("first"))
-        docs = materialize(docs, "batch-docs")
-        fresh = variants.join(docs, ["cell", "title"])
-        if known is not None:
-            fresh = fresh.join(self.cells().select("cell", "title"), ["cell", "title"], "left_anti")
-        fresh = fresh.select("cell", "ring", "title", "vec", F.col("first").alias("doc"), F.pmod(F.xxhash64("cell"), F.lit(BUCKETS)).cast("int").alias("bucket"))
-        found = materialize(rows.join(docs, ["cell", "title"]).where("id != first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b")), "batch-found")
-        fresh.repartition(BUCKETS, "bucket").sortWithinPartitions("cell").write.mode("append").parquet(self.path)
-        self.empty = False
-        return found
-
-
-def found(rows: DataFrame, steps: int = 4) -> DataFrame:
-    """(id_a, id_b) over a whole table, its batches given to a new index in `steps` deliveries in order."""
-    index = UrlIndex(rows.sparkSession)
-    low, high = rows.agg(F.min("batch_no"), F.max("batch_no")).first()
-    empty = rows.sparkSession.createDataFrame([], "id_a bigint, id_b bigint")
-    if low is None:
-        return empty
-    out, width = empty, -(-(high - low + 1) // steps)
-    for at in range(low, high + 1, width):
-        out = out.unionByName(index.accept(rows.where(F.col("batch_no").between(at, at + width - 1))))
-    return out
+        """(id_a, id_b) of the batch's rows whose document is known or came earlier in the batch, and of documents that this batch joined to older ones."""
+        rows = materialize(items(batch).withColumn("batch_no", F.lit(self.taken).cast("bigint")), "batch-items")
+        before = self.merged
+        self.take(texts_of(rows))
+        first = self.assigned(rows).where("id != other").select(F.col("other").alias("id_a"), F.col("id").alias("id_b"))
+        if self.merged is before:
+            return first.distinct()
+        return first.unionByName(self.merged.select(F.col("into").alias("id_a"), F.col("doc").alias("id_b"))).distinct()
+
+    def assigned(self, rows: DataFrame) -> DataFrame:
+        """(id, other): the document of each row taken."""
+        joined = rows.select("id", "batch_no", "exact", "title").join(self.texts().select("batch_no", "exact", "title", "other"), ["batch_no", "exact", "title"])
+        return self.resolved(joined.select("id", "other"), "other").distinct()
+
+    def take(self, texts: DataFrame) -> None:
+        """Find the documents of one batch of distinct texts and append these."""
+        probes = in_cells(texts, SLIPS)
+        held = in_cells(texts, 0).select("cell", "exact", "title", "vec", F.col("id").alias("other"), F.lit(False).alias("old"))
+        if self.taken:
+            known = self.texts().where("fresh")
+            if self.buckets > 1:
+                asked = [r[0] for r in probes.select(self.bucket()).distinct().collect()]  # at most `buckets` numbers
+                known = known.where(F.col("bucket").isin(asked))
+            held = held.unionByName(self.resolved(known, "other").select("cell", "exact", "title", "vec", "other", F.lit(True).alias("old")))
+        edges = materialize(matching(probes, held), "batch-links")
+        rounds = self.closed(edges)
+        least = edges if rounds is None else edges.drop("other").join(rounds.withColumnRenamed("label", "other"), "id")
+        new = least.groupBy("id").agg(F.min("other").alias("other"), F.max("same").alias("same"), F.first("text", True).alias("text")).select("other", "same", "text.*")
+        new = new.select(self.bucket().alias("bucket"), "cell", "exact", "title", "vec", "other", F.lit(self.taken).cast("bigint").alias("batch_no"), (~F.col("same")).alias("fresh"))
+        if self.buckets > 1:
+            new = new.repartition(self.buckets, "bucket")
+        new.write.mode("append").partitionBy(*["bucket"][: self.buckets - 1]).parquet(self.path)
+        self.taken += 1
+
+    def closed(self, edges: DataFrame) -> DataFrame | None:
+        """(id, label): the smallest document each text is linked with through any number of links; None if that is the smallest of its own links.
+
+        Notes the documents that became one. A text that links documents
+        accepted before needs more than one round, others none.
+        """
+        labels, rounds = edges.groupBy("id").agg(F.min("other").alias("label")), None
+        while True:
+            around = edges.select("id", "other").join(labels, "id").groupBy("other").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.bool_or(F.col("id") == F.col("other")).alias("new"))
+            counts = around.agg(F.count_if(F.col("least") < F.col("most")).alias("open"), F.count_if((F.col("least") < F.col("other")) & ~F.col("new")).alias("moved")).first()
+            if not counts["open"]:
+                break
+            labels = rounds = materialize(edges.join(around, "other").groupBy("id").agg(F.min("least").alias("label")), "batch-labels")
+        if counts["moved"]:
+            moves = around.where((F.col("least") < F.col("other")) & ~F.col("new")).select(F.col("other").alias("doc"), F.col("least").alias("into"))
+            if self.merged is not None:
+                further = moves.select(F.col("doc").alias("into"), F.col("into").alias("last"))
+                moves = moves.unionByName(self.merged.join(further, "into", "left").select("doc", F.coalesce("last", "into").alias("into")))
+            self.merged = materialize(moves, "url-moves")
+        return rounds
+
+
+def found(rows: DataFrame, deliveries: int | None = None) -> DataFrame:
+    """(id_a, id_b) over a whole table; each batch is given to a new index by itself, or `deliveries` groups of batches in order."""
+    named = items(rows)
+    order = [r[0] for r in rows.select(F.col("batch_no").cast("bigint")).distinct().collect()]  # a number for each batch
+    order = sorted(n for n in order if n is not None) + [n for n in order if n is None]
+    width = 1 if deliveries is None else max(1, -(-len(order) // deliveries))
+    place = F.lit(None).cast("bigint")
+    for at, n in enumerate(order):
+        place = F.when(F.col("batch_no").eqNullSafe(F.lit(n)), F.lit(at // width).cast("bigint")).otherwise(place)
+    parsed = materialize(named.withColumn("batch_no", place), "url-items")
+    texts = materialize(texts_of(parsed).repartition("batch_no"), "url-texts", ["batch_no"])
+    index = UrlIndex(rows.sparkSession, buckets=1 + parsed.count() // BUCKET_ROWS)
+    for no in range(-(-len(order) // width)):
+        index.take(texts.where(F.col("batch_no") == no))
+    if not order:
+        return parsed.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"))
+    return index.assigned(parsed).where("id != other").select(F.col("other").alias("id_a"), F.col("id").alias("id_b"))
