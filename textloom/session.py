@@ -40,10 +40,10 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_root(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
+def materialize(df: DataFrame, what: str, parts: list[str] | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: computed once, safe against lost executors."""
     path = shared_dir(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.partitionBy(*(parts or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
