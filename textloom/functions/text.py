@@ -12,9 +12,10 @@ def rough_sentences(text: Column) -> Column:
     return F.filter(F.split(marked, "\u0001"), lambda s: F.trim(s) != "")
 
 
-def slug(text: Column) -> Column:
-    """Everything but ASCII letters, digits, _ and - becomes _."""
-    return F.regexp_replace(text, "[^a-zA-Z0-9_-]", "_")
+def slug(text: Column, key: Column | None = None) -> Column:
+    """Everything but ASCII letters, digits, _ and - becomes _; a key goes before it."""
+    bare = F.regexp_replace(text, "[^a-zA-Z0-9_-]", "_")
+    return bare if key is None else F.concat_ws("_", key.cast("string"), bare)
 
 
 def url_base(url: Column) -> Column:
@@ -37,14 +38,14 @@ def importance(label: Column) -> Column:
 
 
 def pipe_triplet(line: Column) -> Column:
-    """Struct (subject, relation, object) of a line `subject | relation | object`; null where a part is missing."""
+    """Struct (subject, relation, object) of a line `subject | relation | object`; null where a part is missing. Further pipes stay in the object."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(line), "^[- ]+", ""), r"^[0-9.)]+\s*", "")
-    part = lambda k: F.regexp_replace(F.trim(F.regexp_extract(bare, r"^(.+?)\s*\|\s*(.+?)\s*\|\s*(.+)$", k)), "^[\"']+|[\"']+$", "")
-    found = F.struct(part(1).alias("subject"), part(2).alias("relation"), part(3).alias("object"))
-    return F.when((part(1) != "") & (part(2) != "") & (part(3) != ""), found)
+    parts = F.transform(F.split(bare, r"\|", 3), lambda p: F.btrim(F.trim(p), F.lit("\"'")))
+    return F.transform(F.filter(F.array(parts), lambda p: (F.size(p) == 3) & ~F.exists(p, lambda x: x == "")), lambda p: F.struct(p[0].alias("subject"), p[1].alias("relation"), p[2].alias("object")))[0]
 
 
 def salience(distance: Column, dep: Column, pos: Column) -> Column:
     """Salience of a mention: nearness in sentences, grammatical role, proper nouns."""
+    # The weights of nearness, roles and proper nouns.
     role = F.when(dep == "nsubj", 80).when(dep == "dobj", 50).when(dep.isin("pobj", "iobj"), 40).otherwise(0)
     return F.greatest(F.lit(0), 100 - 25 * distance) + role + F.when(pos == "PROPN", 30).otherwise(0)

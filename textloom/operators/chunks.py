@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.places import placed
+
 
 def window_starts(n: Column, size: Column, overlap: Column) -> Column:
     """Starts 0, step, 2*step ... up to the first window that holds the last sentence; step is at least 1."""
@@ -22,8 +24,15 @@ def chunk_windows(rows: DataFrame, sentences: Column, size: Column, overlap: Col
 
 
 def neighbour_context(rows: DataFrame, keys: list[str], order: str, text: str, width: int, snippet: int) -> DataFrame:
-    """Adds context: the snippets of up to width rows before and after, joined by line ends."""
-    w = Window.partitionBy(*keys).orderBy(order)
+    """Adds context: the snippets of up to width rows before and after, joined by line ends.
+
+    Rows are numbered in two levels and meet their neighbours by number, so a
+    large group is spread over tasks.
+    """
     cut = F.when(F.length(text) > snippet, F.concat(F.substring(text, 1, snippet), F.lit("..."))).otherwise(F.col(text))
-    sides = [*(F.lag(cut, k).over(w) for k in range(width, 0, -1)), *(F.lead(cut, k).over(w) for k in range(1, width + 1))]
-    return rows.withColumn("context", F.concat_ws("\n", *sides))
+    numbered = placed(rows, keys, order, "_no")
+    steps = [k for k in range(-width, width + 1) if k]
+    sent = numbered.select(*keys, F.col("_no").alias("_from"), cut.alias("_cut"), F.explode(F.array(*map(F.lit, steps))).alias("_k")).withColumn("_no", F.col("_from") + F.col("_k"))
+    met = sent.groupBy(*keys, "_no").agg(F.array_sort(F.collect_list(F.struct("_from", "_cut"))).alias("_x"))  # at most two widths
+    joined = numbered.join(met, [*keys, "_no"], "left")
+    return joined.withColumn("context", F.coalesce(F.array_join(F.transform("_x", lambda x: x["_cut"]), "\n"), F.lit(""))).drop("_x", "_no")

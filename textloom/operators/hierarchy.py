@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import salience
+from textloom.operators.places import placed, running_best
 from textloom.session import materialize
 
 MAX_LEVELS = 10
@@ -17,7 +18,7 @@ def levels(units: DataFrame, key: str, order: str, width: int, top: int = 1) ->
 
     Levels are bounded by MAX_LEVELS; the parent of the last level is null.
     """
-    base = units.withColumn("node", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1).select(key, "node")
+    base = placed(units.select(key, order), [key], order, "node").select(key, "node")
     sizes = base.groupBy(key).agg(F.count("*").alias("size"))
     rows = base.join(sizes, key)
     out = None
@@ -35,17 +36,49 @@ def level_sizes(tree: DataFrame, key: str) -> DataFrame:
     return tree.groupBy(key, "level").agg(F.count("*").alias("n"))
 
 
-def antecedents(pronouns: DataFrame, mentions: DataFrame, key: str, reach: int = 4) -> DataFrame:
-    """(key, token, antecedent, score): the most salient earlier mention of each pronoun, the earliest among equals.
+# Gender and number of the pronouns.
+PRONOUNS = {
+    "he": ("male", "sing"), "him": ("male", "sing"), "his": ("male", "sing"), "she": ("female", "sing"), "her": ("female", "sing"),
+    "it": ("neutral", "sing"), "its": ("neutral", "sing"), "they": ("unknown", "plural"), "them": ("unknown", "plural"), "their": ("unknown", "plural"),
+}
+NEAR = 3  # sentences back within which nearness still counts
 
-    pronouns (key, token, sent), mentions (key, token, sent, text, dep, pos). Mentions further back than `reach`
-    sentences have lost the whole of their nearness; the join is by document and sentence, laid out by explode.
+
+def agreement(pronoun: Column) -> Column:
+    """Struct of the gender and number a pronoun asks for; null for another word."""
+    out = F.lit(None).cast("struct<gender: string, number: string>")
+    for word, (gender, number) in PRONOUNS.items():
+        out = F.when(F.lower(pronoun) == word, F.struct(F.lit(gender).alias("gender"), F.lit(number).alias("number"))).otherwise(out)
+    return out
+
+
+def compatible(pronoun: Column, gender: Column, number: Column) -> Column:
+    """Whether a mention's gender and number fit what a pronoun asks for; unknown genders fit all."""
+    asked = agreement(pronoun)
+    return F.coalesce((asked["number"] == number) & ((asked["gender"] == "unknown") | (gender == "unknown") | (asked["gender"] == gender)), F.lit(False))
+
+
+def antecedents(pronouns: DataFrame, mentions: DataFrame, key: str) -> DataFrame:
+    """(key, token, antecedent, score): the most salient earlier mention that agrees with each pronoun, the earliest among equals; -1 without one.
+
+    pronouns (key, token, sent, word), mentions (key, token, sent, text, dep,
+    pos, gender, number). Mentions of the last sentences are joined by
+    sentence; to those further back nearness adds nothing, so of each kind of
+    gender and number only the running best is needed.
     """
-    asked = pronouns.select(key, F.col("token").alias("at"), F.col("sent").alias("now"), F.explode(F.sequence(F.greatest(F.lit(0), F.col("sent") - reach), F.col("sent"))).alias("sent"))
-    met = asked.join(mentions, [key, "sent"]).where("token < at")
-    score = salience(F.col("now") - F.col("sent"), F.col("dep"), F.col("pos"))
-    best = met.groupBy(key, "at").agg(F.max(F.struct(score.alias("score"), (-F.col("token")).alias("minus"), F.col("text"))).alias("b"))
-    joined = pronouns.select(key, F.col("token").alias("at")).join(best, [key, "at"], "left")
+    kinds = sorted(set(PRONOUNS.values()))
+    asked = pronouns.select(key, F.col("token").alias("at"), F.col("sent").alias("now"), "word", agreement(F.col("word")).alias("ask")).where("ask is not null")
+    near = asked.select("*", F.explode(F.sequence(F.greatest(F.lit(0), F.col("now") - NEAR), F.col("now"))).alias("sent")).join(mentions, [key, "sent"])
+    near = near.where((F.col("token") < F.col("at")) & compatible(F.col("word"), F.col("gender"), F.col("number")))
+    candidate = lambda score: F.struct(score.cast("int").alias("score"), (-F.col("token")).alias("minus"), F.col("text"))
+    best = near.select(key, "at", candidate(salience(F.col("now") - F.col("sent"), F.col("dep"), F.col("pos"))).alias("c"))
+    fits = F.array(*(F.when((F.col("number") == n) & ((F.lit(g) == "unknown") | F.col("gender").isin("unknown", g)), F.lit(f"{g} {n}")) for g, n in kinds))
+    far = mentions.select(F.col(key), "token", candidate(salience(F.lit(NEAR + 1), F.col("dep"), F.col("pos"))).alias("c"), F.explode(F.filter(fits, lambda x: x.isNotNull())).alias("kind"))
+    wanted = asked.select(F.col(key), F.col("at").alias("token"), F.concat_ws(" ", "ask.gender", "ask.number").alias("kind"))
+    split = lambda df: df.withColumn("_group", F.struct(key, "kind"))
+    earlier = running_best(split(far), split(wanted), "_group", "token", "c").select(key, F.col("token").alias("at"), "c")
+    top = best.unionByName(earlier.where("c is not null")).groupBy(key, "at").agg(F.max("c").alias("b"))
+    joined = pronouns.select(key, F.col("token").alias("at")).join(top, [key, "at"], "left")
     return joined.select(key, F.col("at").alias("token"), F.col("b.text").alias("antecedent"), F.coalesce("b.score", F.lit(-1)).alias("score"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as fn
 from textloom.operators import acquisition, chunks, concepts, crawl, embeddings, graphs, hierarchy, resolution, timeline
+from textloom.plans import queues, texts
 from textloom.session import table
 from textloom.streaming import windows
 
@@ -17,7 +18,7 @@ WEIGHTS = {"preprints": 3, "reader": 2}
 
 
 def pdf_rows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "custom_query_pdf").dropDuplicates(["id"])
+    return table(spark, d, "custom_query_pdf").distinct()
 
 
 def source_breakdown(spark: SparkSession, d: str) -> DataFrame:
@@ -29,7 +30,7 @@ def source_breakdown(spark: SparkSession, d: str) -> DataFrame:
 
 def url_routing(spark: SparkSession, d: str) -> DataFrame:
     url = F.col("pdf_url")
-    rows = pdf_rows(spark, d).where("pdf_url is not null").select("id", acquisition.route(url, FOLDERS, "root").alias("folder"), fn.last_fragment_cut(url).alias("url"), fn.slug(F.col("source_name")).alias("source_slug"))
+    rows = pdf_rows(spark, d).where("pdf_url is not null").select("id", acquisition.route(url, FOLDERS, "root").alias("folder"), fn.last_fragment_cut(url).alias("url"), fn.slug(F.col("source_name"), F.col("custom_query_id")).alias("source_slug"))
     return rows
 
 
@@ -192,8 +193,13 @@ def alignment(spark: SparkSession, d: str) -> DataFrame:
 
 
 def side_metrics(spark: SparkSession, d: str) -> DataFrame:
-    best = alignment(spark, d).select(F.when(F.col("label") % 2 == 0, "generated").otherwise("reference").alias("side"), "best")
-    return embeddings.side_metrics(best)
+    """Vectors with an even label are the generated side, the others the reference; each query counts once, by its best match on the other side. Means are over the queries, ids divisible by 50."""
+    side = F.when(F.col("label") % 2 == 0, "generated").otherwise("reference")
+    rows = table(spark, d, "embeddings").select("vec_id", side.alias("side"), "embedding")
+    queries = rows.where("vec_id % 50 = 0")
+    best = embeddings.nearest_by_label(queries, rows, "vec_id", "side", "embedding").withColumnRenamed("side", "other")
+    own = best.join(queries.select(F.col("vec_id").alias("query"), "side"), "query").where("side != other")
+    return embeddings.side_metrics(own.select("side", "best"))
 
 
 def hierarchy_levels(spark: SparkSession, d: str) -> DataFrame:
@@ -203,10 +209,13 @@ def hierarchy_levels(spark: SparkSession, d: str) -> DataFrame:
 
 def pronoun_antecedents(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of a graph stand for mentions in order, every fourth one for a pronoun."""
-    rows = table(spark, d, "raw_node").select("graph_id", "node_id", F.coalesce("label", F.lit("")).alias("text"))
-    rows = rows.withColumn("sent", F.floor(F.col("node_id") / 3))
-    mentions = rows.where("node_id % 4 != 0").select("graph_id", F.col("node_id").alias("token"), "sent", "text", F.when(F.col("node_id") % 2 == 0, "nsubj").otherwise("dobj").alias("dep"), F.when(F.col("node_id") % 5 == 0, "PROPN").otherwise("NOUN").alias("pos"))
-    pronouns = rows.where("node_id % 4 = 0").select("graph_id", F.col("node_id").alias("token"), "sent")
+    k = F.col("node_id")
+    rows = table(spark, d, "raw_node").select("graph_id", "node_id", F.coalesce("label", F.lit("")).alias("text"), F.floor(k / 3).alias("sent"))
+    number = F.when(k % 7 == 0, "plural").otherwise("sing")
+    gender = F.when(k % 11 == 0, "male").when(k % 13 == 0, "female").when(k % 3 == 0, "unknown").otherwise("neutral")
+    mentions = rows.where("node_id % 4 != 0").select("graph_id", k.alias("token"), "sent", "text", F.when(k % 2 == 0, "nsubj").otherwise("dobj").alias("dep"), F.when(k % 5 == 0, "PROPN").otherwise("NOUN").alias("pos"), gender.alias("gender"), number.alias("number"))
+    word = F.when(k % 16 == 0, "They").when(k % 16 == 4, "he").when(k % 16 == 8, "it").otherwise("went")
+    pronouns = rows.where("node_id % 4 = 0").select("graph_id", k.alias("token"), "sent", word.alias("word"))
     return hierarchy.antecedents(pronouns, mentions, "graph_id")
 
 
@@ -250,7 +259,7 @@ QUERIES = {
         chunk_windows, neighbour_context, pipe_triplets, graph_nodes, graph_edges, edge_merge, importance_sweep, degree_metrics, clustering_coefficients, hubs, connected_components, cluster_collapse,
         tfidf_top, tfidf_words, cooccurrence, cluster_representatives, alignment, side_metrics, hierarchy_levels, pronoun_antecedents, entity_resolution, first_labels, path_depths, crawl_states, stream_windows,
     )
-}
+} | queues.QUERIES | texts.QUERIES
 
 _PDF = "(SELECT DISTINCT * FROM custom_query_pdf)"
 _SOURCE = "CASE " + " ".join(f"WHEN {{}} LIKE '{p}' THEN '{n}'" for n, p in PATTERNS) + " ELSE 'other' END"
@@ -263,14 +272,14 @@ _TRIPLES = "SELECT graph_id, triplet_id, lower(trim(subject)) AS s, lower(trim(o
 _NODES = f"""SELECT graph_id, row_number() OVER (PARTITION BY graph_id ORDER BY first_at) - 1 AS node, label, mentions FROM (
   SELECT graph_id, label, min(pos) AS first_at, count(*) AS mentions FROM (
     SELECT graph_id, triplet_id * 2 AS pos, s AS label FROM ({_TRIPLES}) UNION ALL SELECT graph_id, triplet_id * 2 + 1, o FROM ({_TRIPLES})) GROUP BY 1, 2)"""
-_ALIGN = """SELECT q.vec_id AS query, r.label, round(max(list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[])), 6) AS best
-  FROM embeddings r, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q WHERE q.vec_id != r.vec_id GROUP BY 1, 2"""
+_ALIGN = """SELECT query, label, max(sim) AS best, arg_min(vec_id, (-sim, vec_id)) AS nearest FROM
+  (SELECT q.vec_id AS query, r.label, r.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 6) AS sim FROM embeddings r, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q WHERE q.vec_id != r.vec_id) GROUP BY 1, 2"""
 
 SQL: dict[str, str] = {
     "source_breakdown": f"""SELECT source, count(*) AS total, count(*) FILTER (state = 'downloaded') AS downloaded, count(*) FILTER (state = 'pending') AS pending, count(*) FILTER (state = 'unavailable') AS unavailable
       FROM (SELECT {_case("coalesce(lower(pdf_url), '')")} AS source, CASE WHEN status = 99 THEN 'unavailable' WHEN coalesce(destination_path, '') = '' THEN 'pending' WHEN destination_path = 'NA' THEN 'unavailable' ELSE 'downloaded' END AS state FROM {_PDF}) GROUP BY source""",
     "url_routing": f"""SELECT id, CASE WHEN contains(pdf_url, '#customquery_') THEN 'custom' WHEN contains(pdf_url, '#gujarati_law') THEN 'gujarati' WHEN contains(pdf_url, '#english_science') THEN 'english' WHEN contains(pdf_url, '#arxiv') THEN 'arxiv' ELSE 'root' END AS folder,
-      regexp_replace(pdf_url, '#[^#]*$', '') AS url, regexp_replace(source_name, '[^a-zA-Z0-9_-]', '_', 'g') AS source_slug FROM {_PDF} WHERE pdf_url IS NOT NULL""",
+      regexp_replace(pdf_url, '#[^#]*$', '') AS url, concat_ws('_', custom_query_id, regexp_replace(source_name, '[^a-zA-Z0-9_-]', '_', 'g')) AS source_slug FROM {_PDF} WHERE pdf_url IS NOT NULL""",
     "url_reuse": f"""SELECT w.id, d.reuse FROM (SELECT id, split_part(pdf_url, '#', 1) AS base FROM {_PDF} WHERE pdf_url IS NOT NULL AND status = 0) w
       LEFT JOIN (SELECT split_part(pdf_url, '#', 1) AS base, min(destination_path) AS reuse FROM {_PDF} WHERE pdf_url IS NOT NULL AND destination_path NOT IN ('', 'NA') GROUP BY 1) d ON w.base = d.base""",
     "relation_dedup": "SELECT graph_id, min(triplet_id) AS first_id, count(*) AS copies FROM raw_triplet GROUP BY graph_id, subject, relation, object",
@@ -339,14 +348,16 @@ SQL: dict[str, str] = {
       s AS (SELECT graph_id, node_id, CASE WHEN list_dot_product(e, e) > 0 AND list_dot_product(m, m) > 0 THEN round(list_dot_product(e, m) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(m, m))), 6) END AS similarity FROM v JOIN m USING (graph_id))
       SELECT graph_id, node_id, similarity, size FROM (SELECT *, count(*) OVER (PARTITION BY graph_id) AS size, row_number() OVER (PARTITION BY graph_id ORDER BY similarity DESC NULLS LAST, node_id) AS rn FROM s) WHERE rn = 1""",
     "alignment": _ALIGN,
-    "side_metrics": f"""WITH b AS (SELECT label % 2 AS odd, best FROM ({_ALIGN})), m AS (SELECT avg(best) FILTER (odd = 0) AS p, avg(best) FILTER (odd = 1) AS r FROM b)
-      SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM m""",
+    "side_metrics": """WITH s AS (SELECT vec_id, label % 2 AS side, embedding::DOUBLE[] AS e FROM embeddings), b AS (SELECT q.vec_id, q.side, round(max(list_cosine_similarity(q.e, r.e)), 6) AS best FROM s q JOIN s r ON q.side != r.side WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+      m AS (SELECT avg(best) FILTER (side = 0) AS p, avg(best) FILTER (side = 1) AS r FROM b) SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM m""",
     "hierarchy_levels": """WITH RECURSIVE l AS (SELECT graph_id, 0 AS level, count(*) AS n FROM raw_node GROUP BY 1 UNION ALL SELECT graph_id, level + 1, ceil(n / 4)::BIGINT FROM l WHERE n > 1 AND level < 9) SELECT graph_id, level, n FROM l""",
-    "pronoun_antecedents": """WITH r AS (SELECT graph_id, node_id, coalesce(label, '') AS text, node_id // 3 AS sent FROM raw_node),
+    "pronoun_antecedents": """WITH r AS (SELECT graph_id, node_id, coalesce(label, '') AS text, node_id // 3 AS sent, CASE WHEN node_id % 7 = 0 THEN 'plural' ELSE 'sing' END AS number,
+        CASE WHEN node_id % 11 = 0 THEN 'male' WHEN node_id % 13 = 0 THEN 'female' WHEN node_id % 3 = 0 THEN 'unknown' ELSE 'neutral' END AS gender,
+        CASE node_id % 16 WHEN 0 THEN 'unknown' WHEN 4 THEN 'male' WHEN 8 THEN 'neutral' END AS g, CASE node_id % 16 WHEN 0 THEN 'plural' WHEN 4 THEN 'sing' WHEN 8 THEN 'sing' END AS n FROM raw_node),
       m AS (SELECT p.graph_id, p.node_id AS token, m.text, m.node_id, greatest(0, 100 - 25 * (p.sent - m.sent)) + CASE WHEN m.node_id % 2 = 0 THEN 80 ELSE 50 END + CASE WHEN m.node_id % 5 = 0 THEN 30 ELSE 0 END AS score
-        FROM r p JOIN r m ON p.graph_id = m.graph_id AND m.node_id < p.node_id AND p.sent - m.sent <= 4 AND m.node_id % 4 != 0 WHERE p.node_id % 4 = 0),
+        FROM r p JOIN r m ON p.graph_id = m.graph_id AND m.node_id < p.node_id AND m.node_id % 4 != 0 AND m.number = p.n AND (p.g = 'unknown' OR m.gender = 'unknown' OR m.gender = p.g) WHERE p.node_id % 4 = 0),
       b AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY graph_id, token ORDER BY score DESC, node_id) = 1)
-      SELECT p.graph_id, p.node_id AS token, b.text AS antecedent, coalesce(b.score, -1) AS score FROM r p LEFT JOIN b ON b.graph_id = p.graph_id AND b.token = p.node_id WHERE p.node_id % 4 = 0""",
+      SELECT p.graph_id, p.node_id AS token, b.text AS antecedent, coalesce(b.score, -1)::INT AS score FROM r p LEFT JOIN b ON b.graph_id = p.graph_id AND b.token = p.node_id WHERE p.node_id % 4 = 0""",
     "entity_resolution": """WITH RECURSIVE v AS (SELECT graph_id, node_id, label, embedding::DOUBLE[] AS e FROM clustered_node WHERE len(embedding) = 96 AND label IS NOT NULL),
       p AS (SELECT a.node_id AS x, b.node_id AS y FROM v a JOIN v b ON a.graph_id = b.graph_id AND a.node_id != b.node_id WHERE a.e = b.e OR (list_dot_product(a.e, a.e) > 0 AND list_dot_product(b.e, b.e) > 0
         AND round(list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))), 6) >= 0.85)),
@@ -363,5 +374,6 @@ SQL: dict[str, str] = {
       d AS (SELECT *, CASE WHEN more OR i = 0 THEN done ELSE list_distinct(list_append(done, i)) END AS done2 FROM s),
       f AS (SELECT *, CASE WHEN more THEN i WHEN NOT list_contains(done2, (i + 1) % 3) THEN (i + 1) % 3 WHEN NOT list_contains(done2, (i + 2) % 3) THEN (i + 2) % 3 WHEN NOT list_contains(done2, i) THEN i END AS nxt FROM d)
       SELECT custom_query_id, nxt AS criterion_index, CASE WHEN more THEN page + 1 ELSE 1 END AS page, len(done2)::INT AS n_done, CASE WHEN NOT more AND i = 0 AND nxt <= i THEN 1060 END AS resume_at FROM f""",
-    "stream_windows": "SELECT (epoch_us(ts) // 3600000000) * 3600 AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
-}
+    "stream_windows": """SELECT (epoch_us(ts) // 3600000000) * 3600 AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2
+      HAVING (epoch_us(any_value(ts)) // 3600000000 + 1) * 3600000000 <= (SELECT max(epoch_us(ts)) FROM events) - 1800000000""",
+} | queues.SQL | texts.SQL

@@ -29,7 +29,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not named:
-        named = sc.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        named = sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = f"file://{tempfile.mkdtemp(prefix='spark-')}"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named.rstrip("/")

@@ -10,10 +10,10 @@ EDGE = "array<struct<id: string, source: string, target: string, label: string,
 GRAPH = f"struct<nodes: {NODE}, edges: {EDGE}>"
 
 
-def text_folder(spark: SparkSession, path: str) -> DataFrame:
-    """(name, text) of each .txt file below a folder."""
+def text_folder(spark: SparkSession, path: str, name: str = r"([^/]+)\.txt$") -> DataFrame:
+    """(name, text) of each .txt file below a folder; the name is what the pattern takes from its path."""
     rows = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).text(path)
-    return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1).alias("name"), F.col("value").alias("text"))
+    return rows.select(F.regexp_extract(F.url_decode(F.input_file_name()), name, 1).alias("name"), F.col("value").alias("text"))
 
 
 def folder_statistics(spark: SparkSession, path: str, now: str) -> DataFrame:
@@ -24,10 +24,10 @@ def folder_statistics(spark: SparkSession, path: str, now: str) -> DataFrame:
     return files.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.count_if(recent).alias("recent"))
 
 
-def graph_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, variant, nodes, edges): single graphs (variant null), variants and the older thresholds form in one shape."""
+def graph_files(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(file, variant, nodes, edges): single graphs (variant null), variants and the older thresholds form in one shape; a file holds one graph, or one on each line."""
     schema = f"nodes {NODE}, edges {EDGE}, variants map<string, {GRAPH}>, thresholds map<string, {GRAPH}>"
-    rows = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file", F.input_file_name())
+    rows = spark.read.schema(schema).option("multiLine", not lines).json(path).withColumn("file", F.input_file_name())
     many = rows.select("file", F.explode(F.coalesce("variants", "thresholds")).alias("variant", "g")).select("file", "variant", "g.nodes", "g.edges")
     one = rows.where("variants is null and thresholds is null").select("file", F.lit(None).cast("string").alias("variant"), "nodes", "edges")
     return one.unionByName(many)
