@@ -4,11 +4,12 @@ Structure first: page number lines, and running titles, which recur within a
 graph, carry a page number, or stop before the line is full. A word broken at a
 line end is told from a compound's own hyphen by the counts of both spellings.
 Then noisy-channel correction: every word gets the candidates that look alike
-under the character confusions (same shape key, or one odd character), and
-Viterbi decoding over the words of a line, each word itself among its
-candidates, weighs confusion probabilities, learned from the aligned
-candidates, with the counts and bigrams of the corpus and, for new words, with
-their spelling.
+(same shape key), words that clean text never has also those that differ in
+any one character. Confusion probabilities of the aligned characters, and how
+often words are misread at all, are learned by expectation and maximisation
+over all candidates, each word itself among them; Viterbi decoding over the
+words of a line weighs them with the counts and bigrams of the corpus and, for
+new words, with their spelling. A place whose word itself wins is no case.
 
 Defined results: null, empty and blank texts have no line; a line is header or
 page, or may be hyphen and misread; repeated rows count once; extra columns
@@ -33,8 +34,7 @@ from pyspark.sql import functions as F
 from textloom.session import batched, materialize
 
 WORD = r"[\p{L}\p{M}]+(?:[-’'][\p{L}\p{M}]+)*"
-KNOWN = 2  # a word counts as known from this many occurrences in clean text
-LIKELY = 3  # occurrences that a correction must have at least
+ROUNDS = 2  # of expectation and maximisation
 PRIOR = 100.0  # occurrences that a word's own share weighs among those of its pairs
 LETTERS = 10.0  # the same for letters
 
@@ -71,14 +71,15 @@ def keys_of_word(word: str | None) -> list[str]:
 
 
 def keys_of_token(token: str | None) -> list[str]:
-    """Shape key with and without strokes; with one odd character left open."""
+    """Shape key with and without strokes; with one odd character left open; of a new word, which begins with a line end here, with any."""
     if not token:
         return []
     t = token.casefold()
+    new, t = t[0] == "\n", t.lstrip("\n")
     keys = [shape_key(t), shape_key(t.replace("|", "")) + "|"] if "|" in t else [shape_key(t)]
     odd = [i for i, c in enumerate(t) if not (c.isalpha() or unicodedata.category(c)[0] == "M" or c in "-’'")]
-    if len(odd) == 1 and len(t) > 3:
-        keys.append(f"{t[: odd[0]]}\0{t[odd[0] + 1 :]}")
+    if len(t) > 3 and (new or len(odd) == 1):
+        keys += [f"{t[:i]}\0{t[i + 1 :]}" for i in (range(len(t)) if new and not odd else odd[:1])]
     return keys
 
 
@@ -99,7 +100,7 @@ def line_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 body = next((g for g in number.groups() if g), "") if number else s
                 letters = sum(c.isalpha() for c in body)
                 spaced = len(re.findall(r"\S\s{2,}\S", body))
-                title = not page and letters >= 4 and letters * 2 > len(body) and len(body) <= 80 and not spaced and not body[0].islower() and not BROKEN.search(body) and not STOP.search(body)
+                title = not page and letters >= 4 and letters * 2 > len(body) and not spaced and not body[0].islower() and not BROKEN.search(body) and not STOP.search(body)
                 title = title and not re.search(r"[.!?…]\s", body) and (bool(number) or not SECTION.match(s))
                 before = lines[i - 1].strip() if i else ""
                 after = lines[i + 1].strip() if i + 1 < len(lines) else ""
@@ -142,36 +143,38 @@ TOKEN = re.compile(r"\S+")
 EDGE = ".,;:!?()“”\"«»„…[]‘’'—–‚"
 
 
+def line_words(lines: list[str]) -> Iterator[tuple[int, int, str, str | None, str | None, tuple[int, int], tuple[int, int] | None]]:
+    """(line, place in it, word, left, right, span, span in the next line) of the words of text lines; words broken at a line end as one, with both parts."""
+    skip = False
+    for k, line in enumerate(lines):
+        found = list(TOKEN.finditer(line))
+        if skip:
+            found = found[1:]
+        skip, joined = False, None
+        last = found[-1][0] if found else ""
+        broken = bool(BROKEN.search(last)) and len(last) > 1 and last.rstrip("-‐‑–¬­")[-1:].isalpha() and k + 1 < len(lines)
+        follow = TOKEN.search(lines[k + 1]) if broken else None
+        if follow and follow[0][:1].isalpha() and (follow[0][0].islower() or last.isupper()):
+            left, right = last.rstrip("-‐‑–¬­").lstrip(EDGE), follow[0].rstrip(EDGE)
+            end = found[-1].start() + len(last.rstrip("-‐‑–¬­"))
+            if left:
+                joined = (left + right, left, right, (end - len(left), end), (follow.start(), follow.start() + len(right)))
+            found, skip = found[:-1], True
+        at = 0
+        for m in found:
+            bare = m[0].strip(EDGE)
+            if bare:
+                start = m.start() + len(m[0]) - len(m[0].lstrip(EDGE))
+                yield k, at, bare, None, None, (start, start + len(bare)), None
+                at += 1
+        if joined:
+            yield k, at, *joined
+
+
 def word_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words of the text lines with their line; words broken at a line end as one, with both parts."""
+    """The words of each record's text lines."""
     for batch in batches:
-        out = []
-        for src, rec, numbers, lines in batch[["src", "rec_id", "numbers", "lines"]].itertuples(index=False):
-            skip = 0
-            for k, line in enumerate(lines):
-                tokens = TOKEN.findall(line)
-                if skip:
-                    tokens = tokens[1:]
-                    skip = 0
-                at = 0
-                last = tokens[-1] if tokens else ""
-                broken = bool(BROKEN.search(last)) and len(last) > 1 and last.rstrip("-‐‑–¬­")[-1:].isalpha() and k + 1 < len(lines)
-                follow = TOKEN.findall(lines[k + 1]) if broken else []
-                if broken and follow and follow[0][:1].isalpha() and (follow[0][0].islower() or last.isupper()):
-                    left, right = last.rstrip("-‐‑–¬­").lstrip(EDGE), follow[0].rstrip(EDGE)
-                    tokens = tokens[:-1]
-                    skip = 1
-                else:
-                    left = right = None
-                for token in tokens:
-                    bare = token.strip(EDGE)
-                    if token.rstrip(EDGE.replace("!", "")).endswith("!") and bare and bare.isalpha():
-                        pass
-                    if bare:
-                        out.append((src, rec, int(numbers[k]), at, bare, None, None))
-                        at += 1
-                if left:
-                    out.append((src, rec, int(numbers[k]), at, left + right, left, right))
+        out = [(src, rec, int(numbers[k]), at, word, left, right) for src, rec, numbers, lines in batch[["src", "rec_id", "numbers", "lines"]].itertuples(index=False) for k, at, word, left, right, _, _ in line_words(list(lines))]
         yield pd.DataFrame(out, columns=["src", "rec_id", "line_no", "pos", "token", "left", "right"])
 
 
@@ -236,15 +239,44 @@ def odd_tokens(clean: DataFrame) -> DataFrame:
     return tokens.where((F.col("low") != "") & ~F.col("low").rlike(f"^{WORD}$")).groupBy("low").agg(F.count("*").alias("n_odd"))
 
 
-def edits(token: str, word: str) -> tuple[str, str]:
-    """What differs between two words once their common ends are taken away."""
-    i = 0
-    while i < min(len(token), len(word)) and token[i] == word[i]:
-        i += 1
-    j = 0
-    while j < min(len(token), len(word)) - i and token[-1 - j] == word[-1 - j]:
-        j += 1
-    return token[i : len(token) - j], word[i : len(word) - j]
+def confusions(token: str, word: str) -> list[str]:
+    """What was read for what, `read>written`, in the cheapest alignment of two words; neighbouring differences are one."""
+    n, m = len(token), len(word)
+    cost = [[i + j if not i or not j else 0 for j in range(m + 1)] for i in range(n + 1)]
+    for i in range(1, n + 1):
+        for j in range(1, m + 1):
+            cost[i][j] = min(cost[i - 1][j - 1] + (token[i - 1] != word[j - 1]), cost[i - 1][j] + 1, cost[i][j - 1] + 1)
+    out, x, y, i, j = [], "", "", n, m
+    while i or j:
+        if i and j and token[i - 1] == word[j - 1] and cost[i][j] == cost[i - 1][j - 1]:
+            if x or y:
+                out.append(f"{x}>{y}")
+            x, y, i, j = "", "", i - 1, j - 1
+        elif i and j and cost[i][j] == cost[i - 1][j - 1] + 1:
+            x, y, i, j = token[i - 1] + x, word[j - 1] + y, i - 1, j - 1
+        elif i and cost[i][j] == cost[i - 1][j] + 1:
+            x, i = token[i - 1] + x, i - 1
+        else:
+            y, j = word[j - 1] + y, j - 1
+    return [*out, f"{x}>{y}"] if x or y else out
+
+
+def misread_rate(part: DataFrame, n_words: int) -> float:
+    """The share of words that are misread, by the parts of their candidates."""
+    misread = part.agg(F.coalesce(F.sum(F.col("part") * F.col("times")), F.lit(0.0)).alias("n")).first()["n"]
+    return (misread + 0.5) / (n_words + 1.0)
+
+
+def channel_score(pairs: DataFrame, part: DataFrame) -> DataFrame:
+    """(low, word, channel): log probability that the word was read as the token, by the confusions of all others.
+
+    pairs and part hold (low, word, edits, part): a pair's own part doesn't speak for it.
+    """
+    counts = part.select(F.explode("edits").alias("edit"), "part").groupBy("edit").agg(F.sum("part").alias("c"))
+    whole = part.agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("n")).first()["n"]
+    each = pairs.select("low", "word", "part", F.explode("edits").alias("edit")).join(counts, "edit", "left")
+    others = F.greatest(F.coalesce("c", F.lit(0.0)) - F.col("part"), F.lit(0.0))
+    return each.groupBy("low", "word").agg(F.sum(F.log((others + 0.5) / (whole + 1.0))).alias("channel"))
 
 
 def corrections(words: DataFrame, clean: DataFrame) -> DataFrame:
@@ -261,31 +293,40 @@ def corrections(words: DataFrame, clean: DataFrame) -> DataFrame:
     lower = words.withColumn("low", F.lower("token"))
     letters = F.length(F.regexp_replace("low", r"[^\p{L}]", ""))
     tokens = lower.where((letters >= 2) | ((letters == 1) & F.col("low").rlike(r"[^\p{L}\p{M}]"))).groupBy("low").agg(F.count("*").alias("times"))
+    tokens = materialize(tokens.join(vocab.select(F.col("word").alias("low"), F.col("n").alias("n_word")), "low", "left"), "scan-tokens")
     # parts of compounds written with another hyphen, numbers with letters and the like have no candidate
-    asked = tokens.select("low", F.explode(batched(keys_of_token, "array<string>")("low")).alias("key"))
-    offered = vocab.where(F.col("n") >= LIKELY).select("word", "n", F.explode(batched(keys_of_word, "array<string>")("word")).alias("key")).where("key != ''")
+    marked = F.when(F.col("n_word").isNull(), F.concat(F.lit("\n"), "low")).otherwise(F.col("low"))
+    asked = tokens.select("low", F.explode(batched(keys_of_token, "array<string>")(marked)).alias("key"))
+    offered = vocab.select("word", "n", F.explode(batched(keys_of_word, "array<string>")("word")).alias("key")).where("key != ''")
     met = asked.join(offered, "key").select("low", "word", "n").distinct()
     near = F.levenshtein(F.translate("low", JUNK, ""), F.col("word"))
-    met = met.where((near <= F.greatest(F.lit(2), F.length("low") / 4)) & (F.col("low") != F.regexp_replace("word", "-", "")))
-    split = batched(lambda x: "\x1f".join(edits(*x.split("\x1f"))), "string")
-    met = materialize(met.withColumn("edit", split(F.concat_ws("\x1f", "low", "word"))), "scan-candidates")
+    met = met.where((near <= F.greatest(F.lit(2), F.length("low") / 4)) & (F.col("low") != F.regexp_replace("word", "-", "")) & (F.col("low") != F.col("word")))
+    aligned = batched(lambda x: confusions(*x.split("\x1f")), "array<string>")
+    met = materialize(met.withColumn("edits", aligned(F.concat_ws("\x1f", "low", "word"))), "scan-candidates")
     # the tokens that have candidates, as themselves
-    own = met.select("low").distinct()
-    own = own.join(tokens, "low").join(vocab.select(F.col("word").alias("low"), F.col("n").alias("n_word")), "low", "left").join(odd_tokens(clean), "low", "left").join(spelling(vocab, own), "low")
+    own = met.select("low").distinct().join(tokens, "low")
+    own = own.join(odd_tokens(clean), "low", "left").join(spelling(vocab, own), "low")
     own = materialize(own.select("low", "times", F.coalesce("n_word", "n_odd", F.lit(0)).alias("n"), "spelled"), "scan-own")
-    # confusion probabilities from the other unknown tokens with one candidate; how often words are misread from all unknown tokens with one or more
-    unknown = own.where(F.col("n") < KNOWN)
-    alone = met.join(unknown.select("low"), "low", "left_semi").groupBy("low").agg(F.count("*").alias("k"), F.first("edit").alias("edit")).where("k = 1")
-    channel = alone.groupBy("edit").agg(F.count("*").alias("c"))
-    whole = alone.count()
-    misread = unknown.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n")).first()["n"]
-    rate = (misread + 0.5) / (lower.count() + 1.0)
     chance = lambda n: F.col(n) / F.lit(total) * F.lit(1 - new)
-    seen = met.join(channel, "edit", "left").join(alone.select("low", F.lit(1).alias("same")), "low", "left")
-    others = F.coalesce("c", F.lit(0)) - F.coalesce("same", F.lit(0))
-    scored = seen.select("low", F.col("word").alias("option"), "n", (F.log((others + 0.5) / (whole + 1.0)) + math.log(rate) + F.log(chance("n"))).alias("score"))
-    itself = F.log(chance("n") + F.lit(new) * F.exp("spelled"))
-    scored = scored.unionByName(own.select("low", F.col("low").alias("option"), "n", (math.log(max(1 - rate, 1e-9)) + F.greatest(itself, math.log(new) + F.col("spelled"))).alias("score")))
+    itself = F.greatest(F.log(chance("n") + F.lit(new) * F.exp("spelled")), math.log(new) + F.col("spelled"))
+    sizes = own.select("low", "times", "n", itself.alias("itself"))
+    # confusions are learned from the tokens that clean text never has; a candidate's part in them is its likelihood among all of the token
+    learned = met.join(sizes.where("n = 0").select("low", "times", "itself"), "low")
+    part = learned.withColumn("part", 1.0 / F.count("*").over(Window.partitionBy("low")))
+    n_words = lower.count()
+    for _ in range(ROUNDS):
+        part = materialize(part, "scan-parts")
+        rate = misread_rate(part, n_words)
+        likely = part.join(channel_score(part, part), ["low", "word"]).withColumn("likely", F.col("channel") + math.log(rate) + F.log(chance("n")))
+        top = F.greatest(F.max("likely").over(Window.partitionBy("low")), F.col("itself"))
+        likely = likely.withColumn("weight", F.exp(F.col("likely") - top)).withColumn("stays", F.exp(math.log(max(1 - rate, 1e-9)) + F.col("itself") - top))
+        share = F.col("weight") / (F.sum("weight").over(Window.partitionBy("low")) + F.col("stays"))
+        part = likely.select(*learned.columns, share.alias("part"))
+    part = materialize(part, "scan-parts")
+    rate = misread_rate(part, n_words)
+    seen = met.join(part.select("low", "word", "part"), ["low", "word"], "left").fillna(0.0, ["part"])
+    scored = met.join(channel_score(seen, part), ["low", "word"]).select("low", F.col("word").alias("option"), "n", (F.col("channel") + math.log(rate) + F.log(chance("n"))).alias("score"))
+    scored = scored.unionByName(sizes.select("low", F.col("low").alias("option"), "n", (math.log(max(1 - rate, 1e-9)) + F.col("itself")).alias("score")))
     order = ["src", "rec_id", "line_no"]
     lines = lower.join(lower.join(own, "low", "left_semi").select(*order).distinct(), order, "left_semi")
     options = lines.join(scored, "low", "left")
@@ -367,11 +408,35 @@ def found(chunks: DataFrame, graphs: DataFrame, sentences: DataFrame) -> DataFra
     return furniture.unionByName(hyphen).unionByName(at).distinct()
 
 
+def cased(word: str, token: str) -> str:
+    """The word in the letter case of the token it replaces."""
+    return word.upper() if token.isupper() and len(word) > 1 else word[:1].upper() + word[1:] if token[:1].isupper() else word
+
+
+def corrected(lines: list[str], fixes: dict[tuple[int, int], str]) -> list[str]:
+    """Text lines with the words of `fixes` (line, place) put where they stand; of a broken word each line gets its part."""
+    changes: dict[int, list[tuple[int, int, str]]] = {}
+    for k, at, token, left, _, span, after in line_words(lines):
+        word = fixes.get((k, at))
+        if word is None:
+            continue
+        word = cased(word, token)
+        cut = len(word) if after is None else min(len(left or ""), len(word) - 1)
+        changes.setdefault(k, []).append((*span, word[:cut]))
+        if after is not None:
+            changes.setdefault(k + 1, []).append((*after, word[cut:]))
+    out = list(lines)
+    for k, edits in changes.items():
+        for start, end, word in sorted(edits, reverse=True):
+            out[k] = out[k][:start] + word + out[k][end:]
+    return out
+
+
 def repaired(chunks: DataFrame, graphs: DataFrame, sentences: DataFrame) -> DataFrame:
-    """(src, rec_id, text): paragraphs without furniture, broken words joined, misread words replaced."""
+    """(src, rec_id, text): paragraphs without furniture, broken words joined, misread words replaced where they stand."""
     lines, broken, wrong = analysed(chunks, graphs, sentences)
     key = ["src", "rec_id", "line_no"]
-    fixes = wrong.groupBy("src", "rec_id").agg(F.collect_set(F.struct("token", "word")).alias("fixes"))
+    fixes = wrong.groupBy("src", "rec_id").agg(F.collect_set(F.struct("line_no", "pos", "word")).alias("fixes"))
     body = lines.where("kind is null").join(broken.withColumn("broken", F.lit(True)), key, "left")
     body = body.groupBy("src", "rec_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line", F.coalesce("broken", F.lit(False)).alias("broken")))).alias("lines"))
     furniture = lines.where("kind is not null").groupBy("src", "rec_id").agg(F.collect_set("line_no").alias("gone"))
@@ -381,23 +446,21 @@ def repaired(chunks: DataFrame, graphs: DataFrame, sentences: DataFrame) -> Data
             out = []
             for src, rec, lines, fixes, gone in batch[["src", "rec_id", "lines", "fixes", "gone"]].itertuples(index=False):
                 gone = set(gone) if gone is not None else set()
-                text, last = "", None
-                for x in lines:
-                    line, number = x["line"].strip(), x["line_no"]
+                place = {x["line_no"]: k for k, x in enumerate(lines)}
+                right = corrected([x["line"] for x in lines], {(place[f["line_no"]], f["pos"]): f["word"] for f in (fixes if fixes is not None else [])})
+                text, last, last_line = "", None, ""
+                for x, line in zip(lines, right, strict=True):
+                    line, number = line.strip(), x["line_no"]
                     if last is None:
                         text = line
                     elif last["broken"]:
                         text = re.sub(r"[-‐‑–¬­]\s*$", "", text) + line
                     else:
                         between = set(range(last["line_no"] + 1, number)) - gone
-                        done = STOP.search(last["line"].strip()) and not last["line"].strip().endswith(",")
+                        done = STOP.search(last_line) and not last_line.endswith(",")
                         joint = "\n\n" if between and (done or not gone & set(range(last["line_no"], number))) else "" if BROKEN.search(text) and line[:1].islower() else " "
                         text += joint + line
-                    last = x
-                for f in sorted(fixes if fixes is not None else [], key=lambda f: -len(f["token"])):
-                    word = f["word"]
-                    word = word.upper() if f["token"].isupper() and len(word) > 1 else word[:1].upper() + word[1:] if f["token"][:1].isupper() else word
-                    text = text.replace(f["token"], word)
+                    last, last_line = x, line
                 out.append((src, rec, text))
             yield pd.DataFrame(out, columns=["src", "rec_id", "text"])
 
