@@ -42,24 +42,42 @@ def queue(docs: DataFrame, targets: DataFrame, budget: int | None = None, path:
     sized = docs.select("doc_id", "source").join(count_tokens(docs.select("doc_id", "text"), "doc_id", "text", path), "doc_id")
     wanted = targets.groupBy("source").agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("max_repeats")).where("share > 0 and max_repeats > 0")
     sized = materialize(sized.where("n_tokens > 0").join(wanted, "source"), "mix-sizes")
-    sums = sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.max("share").alias("share"), F.max("max_repeats").alias("max_repeats")).collect()  # a row for each target source
+    sums = sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("largest"), F.max("share").alias("share"), F.max("max_repeats").alias("max_repeats")).collect()  # a row for each target source
     whole = sum(r["share"] for r in sums)
     most = min((r["tokens"] * r["max_repeats"] * whole / r["share"] for r in sums), default=0)
     cut = int(budget if budget is not None else most)
+    end = last_finish([(r["share"] / whole, r["tokens"] * r["max_repeats"], r["largest"]) for r in sums], cut)
     spent = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(buckets)).cast("int"))
     spent = running_sum(spent, ["source"], "bucket", [F.xxhash64("doc_id", F.lit(11)), F.col("doc_id")], "n_tokens", "upto")
-    totals = {r["source"]: r["tokens"] for r in sums}
     tokens = F.lit(0)
-    for source, n in totals.items():
-        tokens = F.when(F.col("source") == source, F.lit(n)).otherwise(tokens)
-    copies = spent.select("doc_id", "source", "share", "n_tokens", "upto", F.explode(F.sequence(F.lit(0), F.col("max_repeats") - 1)).alias("copy"))
-    timed = copies.withColumn("finish", (F.col("copy") * tokens + F.col("upto")) / (F.col("share") / F.lit(whole or 1.0)))
-    step = max(1.0, cut / buckets)
-    timed = timed.withColumn("slot", F.least(F.floor(F.col("finish") / step), F.lit(64 * buckets)).cast("int"))
-    mixed = running_sum(timed, [], "slot", ["finish", "source", "doc_id", "copy"], "n_tokens", "total") if cut else timed.withColumn("total", F.lit(1))
+    for r in sums:
+        tokens = F.when(F.col("source") == r["source"], F.lit(r["tokens"])).otherwise(tokens)
+    finish = lambda copy: (copy * tokens + F.col("upto")) / (F.col("share") / F.lit(whole or 1.0))
+    used = F.filter(F.sequence(F.lit(0), F.col("max_repeats") - 1), lambda k: finish(k) <= F.lit(end))
+    timed = spent.select("doc_id", "source", "share", "n_tokens", "upto", F.explode(used).alias("copy")).withColumn("finish", finish(F.col("copy")))
+    timed = timed.withColumn("slot", F.floor(F.col("finish") / F.lit(max(1.0, end / buckets))).cast("int"))
+    mixed = running_sum(timed, [], "slot", ["finish", "source", "doc_id", "copy"], "n_tokens", "total")
     return mixed.where(F.col("total") <= cut).select("doc_id", "source", (F.col("copy") + 1).alias("copy"), "n_tokens", "finish")
 
 
+def last_finish(sources: list[tuple[float, int, int]], cut: int) -> float:
+    """A virtual time behind which no copy can be in a mixture of `cut` tokens. sources (share, tokens with all repeats, tokens of the largest document).
+
+    By time t a source has given at least min(t * share, all its tokens) less one
+    document; the first t at which these reach the cut is enough. Where the
+    sources can't, it is the time at which the last one is used up.
+    """
+    given = lambda t: sum(min(t * share, held) - (largest if t * share < held else 0) for share, held, largest in sources)
+    high = max((held / share for share, held, _ in sources), default=0.0)
+    if given(high) <= cut:
+        return high
+    low = 0.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (low, middle) if given(middle) >= cut else (middle, high)
+    return high
+
+
 def report(mixture: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, tokens, actual_share, documents, most_repeats) of every target source."""
     used = mixture.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count_distinct("doc_id").alias("documents"), F.max("copy").alias("most_repeats"))
