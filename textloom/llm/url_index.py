@@ -43,6 +43,7 @@ DIM = 32
 THIRDS = ((0, 11), (11, 22), (22, DIM))
 RANGE = 9  # width of a cell in each sum; a probe opens at most two ranges of each
 BUCKET_ROWS = 250_000
+SENT_ROWS = 200_000  # a batch with no more probes is sent to the index's tasks; a larger one is joined by cell
 
 LEAD = re.compile(r"^[\s\"'<(\[]*(?:url=)?[\s\"'<(\[]*", re.I)
 SCHEMES = re.compile(r"^(?:https?:/+)+", re.I)
@@ -102,7 +103,7 @@ def item_of(url: str | None) -> tuple[str, str] | None:
 
 
 def letter_counts(title: str) -> list[int]:
-    """The title's full vector: counts of its letters in DIM places."""
+    """The title's full vector: counts of its letters in DIM places. It is kept with 127 for more, so vectors are never further apart than titles."""
     out = [0] * DIM
     for c in title:
         out[(ord(c) * 7 + (ord(c) >> 5)) % DIM] += 1
@@ -116,14 +117,14 @@ def item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             item = item_of(url)
             if item:
                 vec = letter_counts(item[1]) if item[1] else None
-                out.append((no, row, *item, vec, [sum(vec[a:b]) for a, b in THIRDS] if vec else None))
+                out.append((no, row, *item, [min(n, 127) for n in vec] if vec else None, [sum(vec[a:b]) for a, b in THIRDS] if vec else None))
         yield pd.DataFrame(out, columns=["batch_no", "id", "exact", "title", "vec", "sums"]).astype({"batch_no": "Int64"})
 
 
 def items(rows: DataFrame) -> DataFrame:
     """(batch_no, id, exact, title, vec, sums) of the rows that are a URL."""
     named = rows.select(F.col("batch_no").cast("bigint").alias("batch_no"), F.col("id").cast("bigint").alias("id"), F.col("pdf_url").alias("url")).where("url is not null")
-    return named.mapInPandas(item_rows, "batch_no bigint, id bigint, exact string, title string, vec array<int>, sums array<int>")
+    return named.mapInPandas(item_rows, "batch_no bigint, id bigint, exact string, title string, vec array<tinyint>, sums array<int>")
 
 
 def ranges(k: int, slack: int) -> Column:
@@ -150,7 +151,7 @@ def matching(probes: DataFrame, held: DataFrame) -> DataFrame:
     """(id, other, same, text): what each probing text meets in its cells; same: an equal text that is held; text: itself, once."""
     known = held.select("cell", F.col("exact").alias("k_exact"), F.col("title").alias("k_title"), F.col("vec").alias("k_vec"), "other", "old")
     met = probes.join(known, "cell").where(F.col("exact") == F.col("k_exact"))
-    apart = F.aggregate(F.zip_with("vec", "k_vec", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, x: s + x)
+    apart = F.aggregate(F.zip_with("vec", "k_vec", lambda a, b: F.abs(a.cast("int") - b.cast("int"))), F.lit(0), lambda s, x: s + x)
     most = F.least(F.lit(SLIPS), F.floor(F.least(F.length("title"), F.length("k_title")) / 4)).cast("int")
     near = (apart <= 2 * most) & (F.levenshtein(F.col("title"), F.col("k_title")) <= most)
     equal = F.col("title") == F.col("k_title")
@@ -161,7 +162,7 @@ def matching(probes: DataFrame, held: DataFrame) -> DataFrame:
 class UrlIndex:
     """Cells under one path of the shared folder, grown by append only."""
 
-    schema = "bucket int, cell bigint, exact string, title string, vec array<int>, other bigint, batch_no bigint, fresh boolean"
+    schema = "bucket int, cell bigint, exact string, title string, vec array<tinyint>, other bigint, batch_no bigint, fresh boolean"
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 1):
         self.spark, self.path, self.buckets = spark, path or shared_dir(spark, "url-index"), buckets
@@ -196,9 +197,10 @@ class UrlIndex:
         joined = rows.select("id", "batch_no", "exact", "title").join(self.texts().select("batch_no", "exact", "title", "other"), ["batch_no", "exact", "title"])
         return self.resolved(joined.select("id", "other"), "other").distinct()
 
-    def take(self, texts: DataFrame) -> None:
-        """Find the documents of one batch of distinct texts and append these."""
+    def take(self, texts: DataFrame, n: int | None = None) -> None:
+        """Find the documents of one batch of `n` distinct texts and append these."""
         probes = in_cells(texts, SLIPS)
+        small = (texts.count() if n is None else n) * 2 ** len(THIRDS) <= SENT_ROWS
         held = in_cells(texts, 0).select("cell", "exact", "title", "vec", F.col("id").alias("other"), F.lit(False).alias("old"))
         if self.taken:
             known = self.texts().where("fresh")
@@ -206,7 +208,7 @@ class UrlIndex:
                 asked = [r[0] for r in probes.select(self.bucket()).distinct().collect()]  # at most `buckets` numbers
                 known = known.where(F.col("bucket").isin(asked))
             held = held.unionByName(self.resolved(known, "other").select("cell", "exact", "title", "vec", "other", F.lit(True).alias("old")))
-        edges = materialize(matching(probes, held), "batch-links")
+        edges = materialize(matching(F.broadcast(probes) if small else probes, held), "batch-links")
         rounds = self.closed(edges)
         least = edges if rounds is None else edges.drop("other").join(rounds.withColumnRenamed("label", "other"), "id")
         new = least.groupBy("id").agg(F.min("other").alias("other"), F.max("same").alias("same"), F.first("text", True).alias("text")).select("other", "same", "text.*")
@@ -250,8 +252,9 @@ def found(rows: DataFrame, deliveries: int | None = None) -> DataFrame:
     parsed = materialize(named.withColumn("batch_no", place), "url-items")
     texts = materialize(texts_of(parsed).repartition("batch_no"), "url-texts", ["batch_no"])
     index = UrlIndex(rows.sparkSession, buckets=1 + parsed.count() // BUCKET_ROWS)
+    sizes = {r["batch_no"]: r["n"] for r in texts.groupBy("batch_no").agg(F.count("*").alias("n")).collect()}  # a row for each delivery
     for no in range(-(-len(order) // width)):
-        index.take(texts.where(F.col("batch_no") == no))
+        index.take(texts.where(F.col("batch_no") == no), sizes.get(no, 0))
     if not order:
         return parsed.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"))
     return index.assigned(parsed).where("id != other").select(F.col("other").alias("id_a"), F.col("id").alias("id_b"))
