@@ -2,7 +2,9 @@
 
 Every distinct clean token of the corpus is garbled under all chains of
 encodings; the forms, with their originals, make a table. Tokens of the
-suspect documents are hash-joined against it. A form that the clean corpus
+suspect documents are hash-joined against it. Only forms that a Bloom filter of
+the suspect tokens lets through are made into rows: a filter never holds back a
+form that a suspect has, so the table is as good as whole. A form that the clean corpus
 itself uses proves nothing and is left out; of several originals the most
 frequent is taken. Tokens are non-ASCII runs, words and letter pieces; what
 stays unknown of a run (scripts without spaces, new words) is looked up in
@@ -11,11 +13,14 @@ different windows of a run must agree.
 
 Defined results: null, empty and blank texts are never affected; rightly
 decoded rare letters and signs are none; records delivered twice come out
-once; forms that lost characters count as affected and stay unrestored.
+once; forms that lost characters count as affected. A restored text is `whole`
+only where every garbled token is read back exactly through its chain; one put
+in from the table of forms is the likeliest original, not a certain one.
 
 Scale: token and form tables are distinct rows with counts (map-side
 combine); the joins are plain hash joins on the token. No token's rows are
-gathered in one task, and no table is broadcast by hand.
+gathered in one task. The filters have a fixed number of bits, whatever the
+corpus; when they fill up, more forms become rows and nothing else changes.
 """
 
 from __future__ import annotations
@@ -23,7 +28,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +43,7 @@ SUSPECT = r"[\x{80}-\x{52f}\x{2010}-\x{22ff}\x{2300}-\x{25ff}\x{f8ff}\x{fb00}-\x
 WINDOWS = (3, 4, 6, 7, 8, 9)
 LEAST_WINDOWS = 3
 LEAST_SINGLE = 3
+FILTER_BITS = 1 << 24  # of each Bloom filter: 2 MB
 
 # Encodings in which the texts were written, and in which they were read.
 WRITTEN = ("utf-8", "cp1251", "koi8-r", "cp866", "cp1252", "mac-roman", "gbk", "cp874", "iso8859-5")
@@ -109,22 +117,50 @@ def garbled_forms(token: str) -> dict[str, str]:
     return forms
 
 
-def rows_of_forms(lengths: tuple[int, ...] | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Forms of tokens as rows, a thousand tokens at a time; only of the given lengths, if any are given."""
+def filter_places(text: str) -> tuple[int, int, int]:
+    """The bits of a text in a Bloom filter."""
+    h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return h % FILTER_BITS, (h >> 20) % FILTER_BITS, (h >> 40) % FILTER_BITS
+
+
+def bloom_filter(texts: DataFrame) -> np.ndarray:
+    """The Bloom filter of a one-column table: each task fills one of its own, these are joined bit by bit, FILTER_BITS in all."""
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            for text in batch["text"]:
+                bits[list(filter_places(text))] = True
+        words = np.packbits(bits, bitorder="little").view(np.int64)
+        at = np.flatnonzero(words)
+        yield pd.DataFrame({"at": at, "word": words[at]})
+
+    parts = texts.toDF("text").mapInPandas(fill, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word"))
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in parts.collect():  # at most FILTER_BITS / 64 numbers
+        words[r["at"]] = r["word"]
+    return words
+
+
+def rows_of_forms(lengths: tuple[int, ...] | None, wanted: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Forms of tokens as rows, those that the filter lets through; only of the given lengths, if any are given."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.unpackbits(wanted.view(np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                rows = []
-                for token, n in zip(batch["token"][at : at + 1000], batch["n"][at : at + 1000], strict=True):
-                    for form, chain in garbled_forms(token).items():
-                        if lengths and len(form) not in lengths or form.isascii() and form.strip("?"):
-                            continue
-                        multi = chain.startswith(("utf-8", "gbk")) or LOST in form
-                        if not multi and len(token) < LEAST_SINGLE or len(form) < 2 and form != LOST:
-                            continue
-                        rows.append((form, token, int(n), chain))
-                yield pd.DataFrame(rows, columns=["form", "original", "n", "chain"])
+            rows = []
+            for token, n in zip(batch["token"], batch["n"], strict=True):
+                for form, chain in garbled_forms(token).items():
+                    if lengths and len(form) not in lengths or form.isascii() and form.strip("?"):
+                        continue
+                    a, b, c = filter_places(form)
+                    if not (bits[a] and bits[b] and bits[c]):
+                        continue
+                    multi = chain.startswith(("utf-8", "gbk")) or LOST in form
+                    if not multi and len(token) < LEAST_SINGLE or len(form) < 2 and form != LOST:
+                        continue
+                    rows.append((form, token, int(n), chain))
+            yield pd.DataFrame(rows, columns=["form", "original", "n", "chain"])
 
     return make
 
@@ -151,9 +187,9 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "token")
 
 
-def form_table(clean: DataFrame) -> DataFrame:
-    """(form, original, n, chain): one row for each garbled form; forms that are clean tokens are left out."""
-    forms = spread(clean).mapInPandas(rows_of_forms(None), "form string, original string, n bigint, chain string")
+def form_table(clean: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(form, original, n, chain): one row for each garbled form that the filter lets through; forms that are clean tokens are left out."""
+    forms = spread(clean).mapInPandas(rows_of_forms(None, wanted), "form string, original string, n bigint, chain string")
     forms = forms.join(clean.select(F.col("token").alias("form")), "form", "left_anti")
     best = F.max(F.struct("n", "original", "chain"))
     return forms.groupBy("form").agg(best.alias("b")).select("form", "b.original", "b.n", "b.chain")
@@ -177,7 +213,8 @@ def matches(suspects: DataFrame, clean: DataFrame) -> DataFrame:
     """(src, rec_id, form, original, chain): garbled tokens of the suspects (src, rec_id, text)."""
     clean_tokens = materialize(counted(clean), "clean-tokens")
     held = materialize(suspects.select("src", "rec_id", F.explode(tokens(F.col("text"))).alias("form")).distinct(), "suspect-tokens")
-    forms = materialize(form_table(clean_tokens), "garbled-forms")
+    wanted = bloom_filter(held.select("form").distinct())
+    forms = materialize(form_table(clean_tokens, wanted), "garbled-forms")
     first = held.join(forms, "form").select("src", "rec_id", "form", "original", "chain")
 
     # clean words that only the suspects have: unknown, in one script beyond Latin, and not rarer than their garbled forms
@@ -186,20 +223,20 @@ def matches(suspects: DataFrame, clean: DataFrame) -> DataFrame:
     counts = materialize(rest.groupBy("form").agg(F.count("*").alias("k")), "unknown-tokens")
     whole = r"^(?:[\p{IsCyrillic}]{3,}|[\p{IsDevanagari}]{2,}|[\p{IsGujarati}]{2,}|[\p{IsThai}]+|[\p{IsHan}]+|[\x{a1}-\x{17f}\x{2010}-\x{2122}])$"
     own = counts.where(F.col("form").rlike(whole)).select(F.col("form").alias("token"), F.col("k").alias("n"))
-    own_forms = form_table(own).join(counts, "form").where(F.col("n") > F.col("k"))
+    own_forms = form_table(own, wanted).join(counts, "form").where(F.col("n") > F.col("k"))
     second = rest.join(own_forms.select("form", "original", "chain"), "form")
 
     own_forms = materialize(own_forms, "own-forms")
     own = own.join(own_forms.select(F.col("form").alias("token")), "token", "left_anti")
-    groups = letter_groups(clean_tokens.unionByName(own))
-    small = spread(groups).mapInPandas(rows_of_forms(WINDOWS), "form string, original string, n bigint, chain string")
-    small = small.where(~F.col("form").rlike(r"^[?�]+$")).groupBy("form").agg(F.max(F.struct("n", "original", "chain")).alias("b"))
-    small = small.select(F.col("form").alias("window"), "b.original", "b.chain")
     left = counts.select("form").where(F.col("form").rlike(SUSPECT) & (F.length("form") >= 3)).join(own_forms.select("form").unionByName(own.select("token").toDF("form")), "form", "left_anti")
     cut = left.select("form", F.explode(windows(F.col("form"))).alias("window"))
     # a window that clean text shows as it stands proves nothing
     plain = clean_tokens.where(F.col("token").rlike(SUSPECT)).select(F.explode(windows(F.col("token"))).alias("window")).distinct()
-    cut = cut.join(plain, "window", "left_anti")
+    cut = materialize(cut.join(plain, "window", "left_anti"), "suspect-windows")
+    groups = letter_groups(clean_tokens.unionByName(own))
+    small = spread(groups).mapInPandas(rows_of_forms(WINDOWS, bloom_filter(cut.select("window").distinct())), "form string, original string, n bigint, chain string")
+    small = small.where(~F.col("form").rlike(r"^[?�]+$")).groupBy("form").agg(F.max(F.struct("n", "original", "chain")).alias("b"))
+    small = small.select(F.col("form").alias("window"), "b.original", "b.chain")
     met = cut.join(small, "window").groupBy("form", "chain").agg(F.count("*").alias("hits"), F.max(F.length("window")).alias("wide"))
     fits = met.where((F.col("hits") >= LEAST_WINDOWS) | ((F.col("hits") * F.col("wide") >= F.length("form")) & F.col("chain").startswith("utf-8")))
     third = rest.join(fits.groupBy("form").agg(F.max(F.struct("hits", "chain")).alias("b")).select("form", "b.chain"), "form").select("src", "rec_id", "form", F.lit(None).cast("string").alias("original"), "chain")
@@ -240,18 +277,20 @@ def undo(chain: str, form: str) -> str | None:
 
 
 def restored(chunks: DataFrame, sentences: DataFrame) -> DataFrame:
-    """(src, rec_id, text, whole): the affected records with originals put in; whole is false where some part stays lost."""
+    """(src, rec_id, text, whole): the affected records with originals put in; whole is false where some part stays lost or isn't certain."""
     hits = materialize(all_matches(chunks, sentences), "garbled-hits")
 
     @F.pandas_udf("string")
     def backwards(chain: pd.Series, form: pd.Series) -> pd.Series:
         return pd.Series([undo(c, f) for c, f in zip(chain, form, strict=True)], dtype=object)
 
-    pairs = hits.withColumn("original", F.coalesce(backwards("chain", "form"), "original"))
-    longest = F.sort_array(F.collect_set(F.struct((-F.length("form")).alias("o"), "form", "original")))
+    pairs = hits.withColumn("exact", backwards("chain", "form"))
+    pairs = pairs.select("src", "rec_id", "form", F.coalesce("exact", "original").alias("original"), F.col("exact").isNotNull().alias("sure"))
+    longest = F.sort_array(F.collect_set(F.struct((-F.length("form")).alias("o"), "form", "original", "sure")))
     lists = pairs.groupBy("src", "rec_id").agg(longest.alias("pairs"))
     rows = records(chunks, sentences).where("origin = 'legacy'").join(lists, ["src", "rec_id"])
     text = F.aggregate("pairs", F.col("text"), lambda t, p: F.when(p["original"].isNull(), t).otherwise(F.replace(t, p["form"], p["original"])))
     rows = rows.withColumn("restored", text)
-    still = F.exists("pairs", lambda p: p["original"].isNull() & F.contains(F.col("restored"), p["form"]))
-    return rows.select("src", "rec_id", F.col("restored").alias("text"), (~still).alias("whole"))
+    # a token that went with a longer one around it is not looked at again
+    doubtful = F.exists("pairs", lambda p: ~p["sure"] & (F.contains(F.col("restored"), p["form"]) | ~F.exists("pairs", lambda q: q["sure"] & (F.length(q["form"]) > F.length(p["form"])) & F.contains(q["form"], p["form"]))))
+    return rows.select("src", "rec_id", F.col("restored").alias("text"), (~doubtful).alias("whole"))
