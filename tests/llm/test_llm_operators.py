@@ -57,15 +57,68 @@ URLS = [
     (10, "https://a.example/bitstream/1/2/3/04_title.pdf"), (11, "https://a.example/bitstream/1/2/3/24_title.pdf"), (12, None), (13, "about:blank"), (14, "NA"), (15, "")]
 
 
+def found_urls(rows, **how):
+    return {tuple(r) for r in url_index.found(rows, **how).collect()}
+
+
 def test_urls_in_one_batch_and_in_several(spark):
-    rows = spark.createDataFrame([(i, u, i % 5) for i, u in URLS], "id bigint, pdf_url string, batch_no bigint")
-    ordered = rows.withColumn("batch_no", F.col("id"))
+    rows = spark.createDataFrame([(i, u, i) for i, u in URLS], "id bigint, pdf_url string, batch_no bigint")
     want = {(1, 2), (4, 5), (7, 8)}
-    assert {tuple(r) for r in url_index.found(ordered).collect()} == want
-    assert {tuple(r) for r in url_index.found(ordered, steps=1).collect()} == want
+    assert found_urls(rows) == want
+    assert found_urls(rows, deliveries=1) == found_urls(rows, deliveries=4) == want
+    index = url_index.UrlIndex(spark)
+    assert {tuple(r) for r in index.accept(rows.where("id <= 4")).collect()} == {(1, 2)}
+    assert {tuple(r) for r in index.accept(rows.where("id > 4").unionByName(rows.where("id > 4"))).collect()} == {(4, 5), (7, 8)}
+
+
+def test_items_in_path_and_query():
+    item = url_index.item_of
+    assert item("https://a.example/pdf/2101.00001v3") == item("https://a.example/get?id=2101.00001&utm_source=x") == item("http://a.example:80/get?id=2101.00001.pdf")
+    assert item("https://a.example/get?id=2101.00002") != item("https://a.example/pdf/2101.00001")
+    assert item("https://a.example/fetch?handle=bitstream/1/2/3/04_title.pdf") == item("https://a.example/bitstream/1/2/04_title.pdf")
+    assert item("https://a.example/get?ref=2101.00001") is None
+
+
+def test_links_are_closed_whatever_the_batches(spark):
+    # each title is within reach of its neighbours only; the one that links all comes last
+    base = "metod prava i tekst zakona"
+    chain = ["metod prava i tekst zakona", "xxetod prava i tekst zakona zz", "xxetod prava y tekst zakkona zzqq", "other words of a text"]
+    titles = [chain[0], chain[2], chain[3], chain[1], base]
+    rows = spark.createDataFrame([(k + 1, f"https://j.example/article/n/{t.replace(' ', '-')}", k) for k, t in enumerate(titles)], "id bigint, pdf_url string, batch_no bigint")
+    want = {(1, 2), (1, 4), (1, 5)}
+    assert found_urls(rows) == found_urls(rows, deliveries=1) == found_urls(rows, deliveries=2) == want
     index = url_index.UrlIndex(spark)
-    assert {tuple(r) for r in index.accept(ordered.where("id <= 4")).collect()} == {(1, 2)}
-    assert {tuple(r) for r in index.accept(ordered.where("id > 4").unionByName(ordered.where("id > 4"))).collect()} == {(4, 5), (7, 8)}
+    got = [{tuple(r) for r in index.accept(rows.where(F.col("batch_no") == k)).collect()} for k in range(5)]
+    assert got == [set(), set(), set(), {(1, 4), (1, 2)}, {(1, 5)}]
+
+
+def test_cells_hold_every_match(spark):
+    lot = random.Random(4)
+    words = ["".join(lot.choice("abcdeprstuvw") for _ in range(lot.randint(3, 9))) for _ in range(12)]
+    titles = set()
+    for _ in range(60):
+        t = "".join(lot.choice(words) for _ in range(3))
+        titles.add(t)
+        for _ in range(lot.randint(0, 3)):
+            k = lot.randrange(len(t))
+            t = lot.choice([t[:k] + t[k + 1 :], t[:k] + lot.choice("xyz") + t[k:], t[:k] + lot.choice("xyz") + t[k + 1 :]])
+            titles.add(t)
+    titles = sorted(titles)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            last, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+        return row[-1]
+
+    near = {(i, j) for i, a in enumerate(titles) for j, b in enumerate(titles) if i != j and distance(a, b) <= min(url_index.SLIPS, min(len(a), len(b)) // 4)}
+    rows = spark.createDataFrame([(k, f"https://j.example/n/{t}", 0) for k, t in enumerate(titles)], "id bigint, pdf_url string, batch_no bigint")
+    texts = url_index.texts_of(url_index.items(rows))
+    held = url_index.in_cells(texts, 0).select("cell", "exact", "title", "vec", F.col("id").alias("other"), F.lit(False).alias("old"))
+    met = url_index.matching(url_index.in_cells(texts, url_index.SLIPS), held)
+    assert {(r["id"], r["other"]) for r in met.collect() if r["id"] != r["other"]} == near and near
 
 
 def test_vectors_against_brute_force(spark):
@@ -96,8 +149,11 @@ def test_garbled_words_are_found_and_restored(spark, data):
     assert fixed[21] == text and fixed[23] == text and fixed[22] == "naïve"
 
 
+TOTALS = [(side, script, 60, 40) for side in ("close", "open") for script in ("latn", "cyrl", "hani", "thai", "deva", "gujr")]
+
+
 def test_sentences_of_plain_cases():
-    model = sentences.Model([("close", "latn", "Dr", 0, 50), ("close", "latn", "now", 40, 60), ("close", "latn", "<none>", 1, 1)])
+    model = sentences.Model([*TOTALS, ("close", "latn", 41, 111)], [("close", "latn", "Dr", 0, 50), ("close", "latn", "now", 40, 60), ("close", "latn", "<none>", 1, 1)])
     parts = lambda t: [t[a:b] for a, b in sentences.split_text(t, model)]
     assert parts("Title\n\nDr. May left now. “It broke. Nobody knew,” he said.") == ["Title", "Dr. May left now.", "“It broke. Nobody knew,” he said."]
     assert parts("价格下降了。“为什么？”他问道。") == ["价格下降了。", "“为什么？”他问道。"]
@@ -105,11 +161,44 @@ def test_sentences_of_plain_cases():
     assert parts("— Закон? Да никогда! — сказал он. Новый день.") == ["— Закон? Да никогда! — сказал он.", "Новый день."]
     long = "Now it works now. " * 3000
     assert len(parts(long)) == 3000
+    for n in (100, 300, 3000):  # one quotation, however many boundaries it holds
+        quoted = "He said: “" + "It works now. " * n + "It is fine,” she told us."
+        assert parts(f"{quoted} A new day now.") == [quoted, "A new day now."]
+
+
+def test_search_equals_all_pairs():
+    lot = random.Random(1)
+    for _ in range(150):
+        k = lot.randint(2, 50)
+        at = sorted(lot.sample(range(1, k * lot.choice([4, 20, 200])), k))
+        starts, ends = [0, *(p + 1 for p in at[:-1]), at[-1]], [0, *at]
+        gain = [0.0, *(lot.uniform(-8, 3) for _ in range(k - 1)), 0.0]
+        said = [(lot.choice([0.0, -3.0]), s + lot.randint(1, 400), lot.choice([0.0, -4.0])) for s in starts]
+        span = lambda i, j: -(ends[j] - starts[i] < 10) - 0.002 * max(0, ends[j] - starts[i] - 300) + said[i][2 if ends[j] >= said[i][1] else 0] + gain[j]  # noqa: B023, E731
+        best = [0.0]
+        for j in range(1, len(ends)):
+            best.append(max(best[i] + span(i, j) for i in range(j)))
+        came, j, total = sentences.best_parting(starts, ends, gain, 10, said), len(ends) - 1, 0.0
+        while j:
+            total, j = total + span(came[j], j), came[j]
+        assert abs(total - best[-1]) < 1e-6
+
+
+def test_joined_counts_give_the_same_spans(spark, data):
+    rows = sentences.corpus(spark.read.parquet(f"{data}/chunk.parquet"), spark.read.parquet(f"{data}/sentence.parquet"))
+    counts = sentences.fit(rows.select("text"))
+    spans = lambda **how: {tuple(r) for r in sentences.spans_of(rows, counts, ["src", "rec_id"], **how).collect()}
+    assert spans() == spans(model_rows=0)
 
 
 def test_sentences_split_joined_rows(spark, data):
     rows = sentences.corpus(spark.read.parquet(f"{data}/chunk.parquet"), spark.read.parquet(f"{data}/sentence.parquet"))
-    model = sentences.fit(rows.select("text"))
+    counts = sentences.fit(rows.select("text")).collect()
+    totals = {}
+    for side, script, _, yes, no in counts:
+        a, b = totals.get((side, script), (0, 0))
+        totals[side, script] = (a + yes, b + no)
+    model = sentences.Model([(*k, *v) for k, v in totals.items()], [tuple(r) for r in counts])
     singles = [r["text"].strip() for r in rows.where("src = 'sentence'").collect() if r["text"].strip() and len(sentences.split_text(r["text"], model)) == 1 and r["text"].strip()[-1] in ".!?"]
     lot = random.Random(5)
     right = total = 0
@@ -151,6 +240,28 @@ def test_mixture_keeps_shares_and_caps(spark):
     assert mix.select("doc_id", "copy").distinct().count() == mix.count()
 
 
+def test_no_copy_of_a_mixture_is_cut_off():
+    lot = random.Random(2)
+    for _ in range(100):
+        sources = [(lot.uniform(0.1, 1), [lot.randint(1, 50) for _ in range(lot.randint(1, 30))], lot.randint(1, 4)) for _ in range(lot.randint(1, 5))]
+        whole = sum(share for share, _, _ in sources)
+        copies = []
+        for share, sizes, repeats in sources:
+            done = 0
+            for size in sizes * repeats:
+                done += size
+                copies.append((done * whole / share, size))
+        cut = lot.randint(1, sum(size for _, size in copies) + 20)
+        end = mixing.last_finish([(share / whole, sum(sizes) * repeats, max(sizes)) for share, sizes, repeats in sources], cut)
+        total, kept = 0, []
+        for finish, size in sorted(copies):
+            total += size
+            if total > cut:
+                break
+            kept.append(finish)
+        assert all(finish <= end * (1 + 1e-9) for finish in kept)
+
+
 def test_spam_lists_are_told_from_prose(spark):
     rows = []
     for k in range(20):
@@ -193,3 +304,45 @@ def test_many_vectors_of_one_direction_go_by_smallest_id(spark):
     for r in vector_graph.similar_vectors(df).collect():
         got.setdefault(r["id"], set()).add(r["near_id"])
     assert got == {k: set([x for x in range(6) if x != k][:5]) for k in range(400)}
+
+
+def test_words_are_replaced_where_they_stand(spark):
+    plain = "they are open to the march and the search of the north"
+    pages = ["they arc open to the march and the search"] + [f"they are open to the march {k}" for k in range(30)] + ["doors arc open to the search", "the gates arc open to the march"] * 3
+    got = scanned(spark, pages, [plain] * 80 + [f"the doors {w} open to the search" for w in ("are", "were")] * 20)
+    assert got[0] == "they are open to the march and the search"
+    assert scanned_text.corrected(["The Doud and the doud", "of tbe cot-", "ton, tbe"], {(0, 3): "cloud", (0, 1): "cloud", (1, 2): "button"}) == ["The Cloud and the cloud", "of tbe but-", "ton, tbe"]
+
+
+def test_any_character_of_a_new_word_may_be_misread(spark):
+    clean = ["the house by the lake was open to the north and the garden was near the lake"] * 60
+    pages = ["the gavden was near the lake", "the houqe by the lake was open", "the garden was open to tbe north", "the lake by the garden"] * 3
+    got = scanned(spark, pages, clean)
+    assert got[0] == "the garden was near the lake" and got[1] == "the house by the lake was open"
+
+
+def test_the_line_decides_between_look_alikes():
+    # one place with two candidates of equal score: pairs with the neighbours decide, not their order
+    steps = [[("the", 0.0, 9)], [("dear", -1.0, 5), ("clear", -1.0, 5)], [("sky", 0.0, 9)]]
+    assert scanned_text.decode_line(steps, {("clear", "sky"): 5}, 100.0) == ["the", "clear", "sky"]
+    assert scanned_text.decode_line(steps, {("dear", "sky"): 5}, 100.0) == ["the", "dear", "sky"]
+    assert scanned_text.confusions("c1earn", "clearm") == ["n>m", "1>l"] and scanned_text.confusions("rnodel", "model") == ["rn>m"]
+
+
+def test_vectors_in_many_blocks(spark):
+    rng = np.random.default_rng(5)
+    v = np.repeat(rng.normal(size=(40, 96)), 15, axis=0) + 0.3 * rng.normal(size=(600, 96))
+    df = spark.createDataFrame([(i, v[i].tolist()) for i in range(600)], "id bigint, vec array<float>").select(F.lit("x").alias("src"), "id", "vec")
+    pairs = lambda **how: {(r["id"], r["near_id"]) for r in vector_graph.similar_vectors(df, **how).collect()}
+    one, many = pairs(), pairs(block_rows=50)
+    assert one == many
+
+
+def test_lossy_originals_are_not_called_whole(spark):
+    text = "Формальный закон описывает редкий прибор"
+    lossy = text.encode().decode("cp1252", "replace")
+    rows = [(k, "text", f"{text} {k}") for k in range(5)] + [(20, "legacy", lossy), (21, "legacy", text.encode("cp1251").decode("latin-1"))]
+    chunk = spark.createDataFrame(rows, "chunk_id bigint, origin string, text string")
+    empty = spark.createDataFrame([], "sentence_id bigint, origin string, text string")
+    got = {r["rec_id"]: r["whole"] for r in garbled_text.restored(chunk, empty).collect()}
+    assert got == {20: False, 21: True}

@@ -121,7 +121,7 @@ def votes() -> tuple[Column, Column]:
     spaced = c("long_token_share") <= 0.5
     spam = [
         c("url_share") > 0.5, c("tag_share") > 0.35, c("code_rate") > 0.06, (c("pair_repeat") > 0.5) & spaced, (c("top_share") > 0.5) & (c("repeat_share") > 0.6) & spaced, c("sep_rate") > 0.3,
-        (c("stop_rate") < 0.3) & (c("prose_share") < 0.1) & spaced, (c("words_per_stop") < 4.5) & (c("repeat_share") > 0.65),
+        (c("stop_rate") < 0.3) & (c("prose_share") < 0.1) & (c("digit_share") < 0.3) & spaced, (c("words_per_stop") < 4.5) & (c("repeat_share") > 0.65),
     ]
     true = [
         (c("prose_share") > 0.7) & (c("words_per_stop") > 4.5), (c("stop_rate") > 1) & (c("stop_rate") < 5), (c("pair_repeat") < 0.3) & (c("repeat_share") < 0.5), (c("words_per_stop") > 5) & (c("words_per_stop") < 25), c("line_stop_share") > 0.6,
