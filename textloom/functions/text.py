@@ -41,7 +41,7 @@ def pipe_triplet(line: Column) -> Column:
     """Struct (subject, relation, object) of a line `subject | relation | object`; null where a part is missing. Further pipes stay in the object."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(line), "^[- ]+", ""), r"^[0-9.)]+\s*", "")
     parts = F.transform(F.split(bare, r"\|", 3), lambda p: F.btrim(F.trim(p), F.lit("\"'")))
-    return F.transform(F.filter(F.array(parts), lambda p: (F.size(p) == 3) & ~F.exists(p, lambda x: x == "")), lambda p: F.struct(p[0].alias("subject"), p[1].alias("relation"), p[2].alias("object")))[0]
+    return F.get(F.transform(F.filter(F.array(parts), lambda p: (F.size(p) == 3) & ~F.exists(p, lambda x: x == "")), lambda p: F.struct(p[0].alias("subject"), p[1].alias("relation"), p[2].alias("object"))), 0)
 
 
 def salience(distance: Column, dep: Column, pos: Column) -> Column:
