@@ -311,7 +311,7 @@ def test_words_are_replaced_where_they_stand(spark):
     pages = ["they arc open to the march and the search"] + [f"they are open to the march {k}" for k in range(30)] + ["doors arc open to the search", "the gates arc open to the march"] * 3
     got = scanned(spark, pages, [plain] * 80 + [f"the doors {w} open to the search" for w in ("are", "were")] * 20)
     assert got[0] == "they are open to the march and the search"
-    assert scanned_text.corrected(["The Doud and the doud", "of tbe cot-", "ton, tbe"], {(0, 3): "cloud", (0, 1): "cloud", (1, 2): "button"}) == ["The Cloud and the cloud", "of tbe but-", "ton, tbe"]
+    assert scanned_text.corrected(["The Doud and the doud", "of tbe cot-", "ton, tbe"], {(0, 4): "cloud", (0, 1): "cloud", (1, 2): "button"}) == ["The Cloud and the cloud", "of tbe but-", "ton, tbe"]
 
 
 def test_any_character_of_a_new_word_may_be_misread(spark):
