@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import importance
-from textloom.operators.resolution import cosine
+from textloom.operators.resolution import pairs_within
 from textloom.session import batched
 
 # Modifiers that say nothing about a term, and pronouns with gender and number.
@@ -171,9 +171,8 @@ def greedy_dedup(rows: DataFrame, block: list[str], order: str, vector: str, rel
     """
     from textloom.operators.graphs import components
 
-    a = rows.select(*block, F.col(order).alias("a"), F.col(vector).alias("va"))
-    b = rows.select(*block, F.col(order).alias("b"), F.col(vector).alias("vb"))
-    pairs = a.join(b, block).where("a < b").where(cosine(F.col("va"), F.col("vb")) > threshold).select("a", "b")
+    keyed = rows.select(F.xxhash64(*block).alias("_block"), order, vector) if len(block) > 1 else rows.select(F.col(block[0]).alias("_block"), order, vector)
+    pairs = pairs_within(keyed, "_block", order, vector, threshold).where(F.col("similarity") > threshold).select("a", "b")
     classes = components(pairs, "a", "b").select(F.col("node").alias(order), F.col("component").alias("_class"))
     linked = rows.join(classes, order).select(*block, order, vector, F.col(relation).alias("_relation"), "_class")
     schema = linked.select(*block, order).schema

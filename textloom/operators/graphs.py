@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.operators.places import placed
-from textloom.session import materialize
+from textloom.session import discard, materialize
 
 
 def merge_edges(edges: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
@@ -132,7 +132,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         floor = large.groupBy("x").agg(F.min("m").alias("least"))
         small = large.join(floor, "x")
         small = small.select("x", F.col("least").alias("m")).unionByName(small.where("m != least").select(F.col("m").alias("x"), F.col("least").alias("m"))).distinct()
-        links = materialize(small, "links")
+        older, links = links, materialize(small, "links")
+        discard(older)
         after = mark(links)
         if after == before:
             break

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import salience
 from textloom.operators.places import placed, running_best
-from textloom.session import materialize
+from textloom.session import discard, materialize
 
 MAX_LEVELS = 10
 DOUBLINGS = 24  # paths of up to 2**24 steps; only a cycle needs more
@@ -90,8 +90,11 @@ def paths_to_root(tree: DataFrame, key: str, node: str, parent: str) -> DataFram
     """
     now = tree.select(key, F.col(node).alias("node"), F.col(parent).alias("up"), F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"), F.col(node).alias("top"))
     now = now.withColumn("top", F.coalesce("up", "node"))
+    older = None
     for _ in range(DOUBLINGS):
         now = materialize(now, "paths")
+        discard(older)
+        older = now
         if now.where("up is not null").isEmpty():
             break
         jump = now.select(key, F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("top").alias("t2"))

@@ -48,7 +48,18 @@ def materialize(df: DataFrame, what: str, parts: list[str] | None = None) -> Dat
     """Write df to the shared folder and read it back: computed once, safe against lost executors."""
     path = shared_dir(df.sparkSession, what)
     df.write.partitionBy(*(parts or [])).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the files of a table that materialize() wrote and nothing reads any more."""
+    path = getattr(df, "_written_at", None)
+    if path:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def batched(fn: Callable, kind: str) -> Callable[..., Column]:
