@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import batched, materialize
+from textloom.session import batched, discard, materialize
 
 WORD = r"[\p{L}\p{M}]+(?:[-’'][\p{L}\p{M}]+)*"
 ROUNDS = 2  # of expectation and maximisation
@@ -314,8 +314,11 @@ def corrections(words: DataFrame, clean: DataFrame) -> DataFrame:
     learned = met.join(sizes.where("n = 0").select("low", "times", "itself"), "low")
     part = learned.withColumn("part", 1.0 / F.count("*").over(Window.partitionBy("low")))
     n_words = lower.count()
+    older = None
     for _ in range(ROUNDS):
         part = materialize(part, "scan-parts")
+        discard(older)
+        older = part
         rate = misread_rate(part, n_words)
         likely = part.join(channel_score(part, part), ["low", "word"]).withColumn("likely", F.col("channel") + math.log(rate) + F.log(chance("n")))
         top = F.greatest(F.max("likely").over(Window.partitionBy("low")), F.col("itself"))

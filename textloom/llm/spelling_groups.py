@@ -78,26 +78,28 @@ def encoded_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def encoded_triplets(triplets: DataFrame) -> DataFrame:
-    """(rec_id, graph_id, relation, lower code, upper code); subject and object may change places."""
+    """(rec_id, graph_id, relation code, lower code, upper code); relations have codes as they are written, subject and object may change places."""
     rows = triplets.select(F.col("triplet_id").alias("rec_id"), "graph_id", "subject", "relation", "object")
     rows = rows.where("subject is not null and object is not null")
     codes = value_dictionary(rows.select(F.explode(F.array("subject", "object"))))
     coded = rows.join(codes.select(F.col("value").alias("subject"), F.col("code").alias("s")), "subject")
     coded = coded.join(codes.select(F.col("value").alias("object"), F.col("code").alias("o")), "object")
-    pairs = coded.select("rec_id", "graph_id", "relation", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"))
+    relations = materialize(rows.select("relation").where("relation is not null").distinct().select("relation", F.monotonically_increasing_id().alias("r")), "relations")
+    coded = coded.join(relations, "relation", "left")
+    pairs = coded.select("rec_id", "graph_id", "r", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"))
     return materialize(pairs, "coded-triplets")  # read twice: to group, and to find the copies
 
 
 def found(nodes: DataFrame, triplets: DataFrame) -> DataFrame:
     """(src, first_id, copy_id) over node labels and triplets of the same graph."""
     a = later_copies(encoded_nodes(nodes), ["graph_id", "code"], "rec_id")
-    b = later_copies(encoded_triplets(triplets), ["graph_id", "relation", "lo", "hi"], "rec_id")
+    b = later_copies(encoded_triplets(triplets), ["graph_id", "r", "lo", "hi"], "rec_id")
     return a.select(F.lit("node").alias("src"), "first_id", "copy_id").unionByName(b.select(F.lit("triplet").alias("src"), "first_id", "copy_id"))
 
 
 def collapsed(nodes: DataFrame, triplets: DataFrame) -> DataFrame:
     """(src, graph_id, first_id, n_copies): one row for each distinct label or triplet of a graph."""
     a, _ = group_copies(encoded_nodes(nodes), ["graph_id", "code"], "rec_id")
-    b, _ = group_copies(encoded_triplets(triplets), ["graph_id", "relation", "lo", "hi"], "rec_id")
+    b, _ = group_copies(encoded_triplets(triplets), ["graph_id", "r", "lo", "hi"], "rec_id")
     pick = lambda df, src: df.select(F.lit(src).alias("src"), F.col("k0").alias("graph_id"), "first_id", "n_copies")
     return pick(a, "node").unionByName(pick(b, "triplet"))

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.session import materialize, shared_dir
+from textloom.session import discard, materialize, shared_dir
 
 SLIPS = 4
 DIM = 32
@@ -216,6 +216,8 @@ class UrlIndex:
         if self.buckets > 1:
             new = new.repartition(self.buckets, "bucket")
         new.write.mode("append").partitionBy(*["bucket"][: self.buckets - 1]).parquet(self.path)
+        discard(edges)
+        discard(rounds)
         self.taken += 1
 
     def closed(self, edges: DataFrame) -> DataFrame | None:
