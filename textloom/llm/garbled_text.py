@@ -6,8 +6,9 @@ suspect documents are hash-joined against it. Only forms that a Bloom filter of
 the suspect tokens lets through are made into rows: a filter never holds back a
 form that a suspect has, so the table is as good as whole. A form that the clean corpus
 itself uses proves nothing and is left out; of several originals the most
-frequent is taken. Tokens are non-ASCII runs, words and letter pieces; what
-stays unknown of a run (scripts without spaces, new words) is looked up in
+frequent is taken. Tokens are non-ASCII runs, words, letter pieces, and words
+whose ASCII letters and digits are counted as one of their kind (so quotes and
+dashes around any word are known from those around others); what stays unknown of a run (scripts without spaces, new words) is looked up in
 windows against the forms of short clean letter groups, and at least three
 different windows of a run must agree.
 
@@ -43,6 +44,7 @@ SUSPECT = r"[\x{80}-\x{52f}\x{2010}-\x{22ff}\x{2300}-\x{25ff}\x{f8ff}\x{fb00}-\x
 WINDOWS = (3, 4, 6, 7, 8, 9)
 LEAST_WINDOWS = 3
 LEAST_SINGLE = 3
+LEAST_SIGNS = 3  # records of clean text that must have a sign whose readings count
 FILTER_BITS = 1 << 24  # of each Bloom filter: 2 MB
 
 # Encodings in which the texts were written, and in which they were read.
@@ -165,21 +167,32 @@ def rows_of_forms(lengths: tuple[int, ...] | None, wanted: np.ndarray) -> Callab
     return make
 
 
+def rows_of_signs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(form, read): what one-byte readings make of single signs."""
+    for batch in batches:
+        rows = [(form, chain.split(">")[1]) for token in batch["token"] for form, chain in garbled_forms(token).items() if len(form) == 1 and form not in (LOST, "?") and not chain.startswith(("utf-8", "gbk"))]
+        yield pd.DataFrame(rows, columns=["form", "read"])
+
+
 def runs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
 
 
 def tokens(text: Column) -> Column:
-    """Distinct non-ASCII runs, words and letter pieces of a text."""
+    """Distinct (form, word) of a text: non-ASCII runs, words and letter pieces as they are, and the shape of words that are ASCII in part."""
     words = F.transform(F.split(text, r"[ \t\r\n]+"), lambda w: F.regexp_replace(w, r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$", ""))
-    pieces = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
-    wide = F.filter(F.concat(words, pieces), lambda w: (F.length(w) >= LEAST_SINGLE) & w.rlike(r"[^\x00-\x7f]"))
-    return F.array_distinct(F.concat(runs(text), wide))
+    wide = F.filter(words, lambda w: w.rlike(r"[^\x00-\x7f]"))
+    pieces = F.filter(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: w.rlike(r"[^\x00-\x7f]"))
+    shape = lambda w: F.regexp_replace(F.regexp_replace(F.regexp_replace(w, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0")
+    whole = F.filter(F.concat(wide, pieces), lambda w: F.length(w) >= LEAST_SINGLE)
+    same = F.transform(F.concat(runs(text), whole), lambda w: F.struct(w.alias("form"), w.alias("word")))
+    shaped = F.filter(F.transform(wide, lambda w: F.struct(shape(w).alias("form"), w.alias("word"))), lambda x: (F.length(x["form"]) >= LEAST_SINGLE) & (F.length(x["form"]) < F.length(x["word"])))
+    return F.array_distinct(F.concat(same, shaped))
 
 
 def counted(rows: DataFrame) -> DataFrame:
     """(token, n documents)."""
-    return rows.select(F.explode(tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return rows.select(F.explode(F.array_distinct(F.transform(tokens(F.col("text")), lambda t: t["form"]))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -212,21 +225,30 @@ def windows(run: Column) -> Column:
 def matches(suspects: DataFrame, clean: DataFrame) -> DataFrame:
     """(src, rec_id, form, original, chain): garbled tokens of the suspects (src, rec_id, text)."""
     clean_tokens = materialize(counted(clean), "clean-tokens")
-    held = materialize(suspects.select("src", "rec_id", F.explode(tokens(F.col("text"))).alias("form")).distinct(), "suspect-tokens")
+    held = materialize(suspects.select("src", "rec_id", F.explode(tokens(F.col("text"))).alias("t")).select("src", "rec_id", "t.form", "t.word").distinct(), "suspect-tokens")
     wanted = bloom_filter(held.select("form").distinct())
     forms = materialize(form_table(clean_tokens, wanted), "garbled-forms")
-    first = held.join(forms, "form").select("src", "rec_id", "form", "original", "chain")
+    # of a shape the word itself is what goes on; its original is for its chain to tell
+    named = ["src", "rec_id", F.col("word").alias("form"), F.when(F.col("form") == F.col("word"), F.col("original")).alias("original"), "chain"]
+    first = held.join(forms, "form").select(*named)
 
     # clean words that only the suspects have: unknown, in one script beyond Latin, and not rarer than their garbled forms
     known = clean_tokens.select(F.col("token").alias("form")).unionByName(forms.select("form"))
-    rest = held.join(known, "form", "left_anti")
+    rest = held.where("form = word").join(known, "form", "left_anti")
     counts = materialize(rest.groupBy("form").agg(F.count("*").alias("k")), "unknown-tokens")
     whole = r"^(?:[\p{IsCyrillic}]{3,}|[\p{IsDevanagari}]{2,}|[\p{IsGujarati}]{2,}|[\p{IsThai}]+|[\p{IsHan}]+|[\x{a1}-\x{17f}\x{2010}-\x{2122}])$"
     own = counts.where(F.col("form").rlike(whole)).select(F.col("form").alias("token"), F.col("k").alias("n"))
     own_forms = form_table(own, wanted).join(counts, "form").where(F.col("n") > F.col("k"))
-    second = rest.join(own_forms.select("form", "original", "chain"), "form")
+    second = rest.join(own_forms.select("form", "original", "chain"), "form").select(*named)
 
     own_forms = materialize(own_forms, "own-forms")
+    # single signs and accented letters that clean text doesn't have: two and more in a record, and at least half of all such, are what one reading makes of signs that it has
+    singles = rest.where(F.length("form") == 1).select("src", "rec_id", "form")
+    signs = clean_tokens.where((F.length("token") == 1) & (F.col("n") >= LEAST_SIGNS) & F.col("token").rlike(r"[\x{a1}-\x{17f}\x{2010}-\x{2122}]")).select("token")
+    read = singles.join(signs.mapInPandas(rows_of_signs, "form string, read string").distinct(), "form")
+    per = read.groupBy("src", "rec_id", "read").agg(F.count_distinct("form").alias("n")).join(singles.groupBy("src", "rec_id").agg(F.count_distinct("form").alias("all")), ["src", "rec_id"])
+    fitting = per.where("n >= 2 and 2 * n >= all").groupBy("src", "rec_id").agg(F.min("read").alias("read"))
+    fourth = read.join(fitting, ["src", "rec_id", "read"]).select("src", "rec_id", "form", F.lit(None).cast("string").alias("original"), F.concat(F.lit("cp1252>"), "read").alias("chain")).distinct()
     own = own.join(own_forms.select(F.col("form").alias("token")), "token", "left_anti")
     left = counts.select("form").where(F.col("form").rlike(SUSPECT) & (F.length("form") >= 3)).join(own_forms.select("form").unionByName(own.select("token").toDF("form")), "form", "left_anti")
     cut = left.select("form", F.explode(windows(F.col("form"))).alias("window"))
@@ -241,7 +263,7 @@ def matches(suspects: DataFrame, clean: DataFrame) -> DataFrame:
     fits = met.where((F.col("hits") >= LEAST_WINDOWS) | ((F.col("hits") * F.col("wide") >= F.length("form")) & F.col("chain").startswith("utf-8")))
     third = rest.join(fits.groupBy("form").agg(F.max(F.struct("hits", "chain")).alias("b")).select("form", "b.chain"), "form").select("src", "rec_id", "form", F.lit(None).cast("string").alias("original"), "chain")
     lost = rest.where(F.col("form").contains(LOST)).select("src", "rec_id", "form", F.lit(None).cast("string").alias("original"), F.lit("lost").alias("chain"))
-    return first.unionByName(second.select("src", "rec_id", "form", "original", "chain")).unionByName(third).unionByName(lost)
+    return first.unionByName(second).unionByName(fourth).unionByName(third).unionByName(lost)
 
 
 def records(chunks: DataFrame, sentences: DataFrame) -> DataFrame:
