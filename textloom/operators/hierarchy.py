@@ -101,3 +101,15 @@ def paths_to_root(tree: DataFrame, key: str, node: str, parent: str) -> DataFram
         joined = now.join(jump, [key, "up"], "left")
         now = joined.select(key, "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("t2", "top").alias("top"))
     return now.select(key, "node", "depth", F.when(F.col("up").isNull(), F.col("top")).alias("root"))
+
+
+def aggregation_parts(sizes: Column, most: int, depth: int = 8) -> Column:
+    """Segments (start, stop) into which the children of a node are cut to be summarised: one of more than two children and more than `most` characters is halved, and its halves again, up to `depth` times."""
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.size(sizes).alias("stop")))
+    n = lambda s: s["stop"] - s["start"]
+    weight = lambda s: F.aggregate(F.slice(sizes, s["start"] + 1, n(s)), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    middle = lambda s: s["start"] + F.floor(n(s) / 2).cast("int")
+    halves = lambda s: F.array(F.struct(s["start"].alias("start"), middle(s).alias("stop")), F.struct(middle(s).alias("start"), s["stop"].alias("stop")))
+    for _ in range(depth):
+        whole = F.flatten(F.transform(whole, lambda s: F.when((n(s) > 2) & (weight(s) > most), halves(s)).otherwise(F.array(s))))
+    return whole

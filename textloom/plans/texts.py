@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as fn
-from textloom.operators import concepts, embeddings, extraction, graphs, hierarchy
+from textloom.operators import concepts, embeddings, extraction, graphs, hierarchy, resolution
+from textloom.operators.places import placed
 from textloom.session import materialize, table
 
 STOP_WORDS = ["the", "of", "and", "with", "that", "und", "die", "der", "что", "для"]
@@ -267,12 +268,36 @@ def top_level(spark: SparkSession, d: str) -> DataFrame:
     return tops.select("graph_id", "level", "tops", F.when(F.col("tops") == 1, F.concat(F.lit("L"), "level", F.lit("N0"))).otherwise("root").alias("root"))
 
 
+def token_relations(spark: SparkSession, d: str) -> DataFrame:
+    """Triplets as parsed sentences: subject, verb and object as tokens."""
+    token = lambda text, pos, dep: F.struct(text.alias("text"), text.alias("lemma"), F.lit(pos).alias("pos"), F.lit(dep).alias("dep"), F.lit(1).alias("head"))
+    rows = table(spark, d, "raw_triplet").where("subject is not null and object is not null")
+    parsed = rows.select("triplet_id", F.array(token(F.col("subject"), "NOUN", "nsubj"), token(F.col("relation"), "VERB", "ROOT"), token(F.col("object"), "PROPN", "dobj")).alias("tokens"))
+    return extraction.token_relations(parsed, ["triplet_id"], "tokens")
+
+
+def aggregation_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Eight chunks of a graph are summarised together, in halves where their text is too long."""
+    rows = placed(table(spark, d, "chunk").select("graph_id", "chunk_id", F.length(F.coalesce("text", F.lit(""))).alias("size")), ["graph_id"], "chunk_id", "no")
+    groups = rows.groupBy("graph_id", F.floor(F.col("no") / 8).alias("part")).agg(F.transform(F.array_sort(F.collect_list(F.struct("no", "size"))), lambda x: x["size"].cast("bigint")).alias("sizes"))
+    cut = hierarchy.aggregation_parts(F.col("sizes"), 1500, 3)  # eight children are halved twice at most
+    return groups.select("graph_id", "part", F.array_join(F.transform(cut, lambda s: F.concat_ws("-", s["start"], s["stop"])), ",").alias("cut"))
+
+
+def capped_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """The thirty foremost labels of each graph: core before supporting before peripheral, then as they come; each once whatever its case."""
+    rank = F.pmod("node_id", F.lit(3))
+    rows = table(spark, d, "raw_node").where("trim(label) != ''").select("graph_id", "label", (rank * 1_000_000_000 + F.col("node_id")).alias("at"), F.element_at(F.array(*map(F.lit, ("core", "supporting", "peripheral"))), (rank + 1).cast("int")).alias("importance"))
+    named = resolution.first_spellings(rows, "graph_id", "at", "label")
+    return resolution.ranked_cap(named, "graph_id", F.col("at"), "label", 30).select("graph_id", "label", "place")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         reply_triplets, reply_entities, broken_replies, normalized_terms, weighted_nodes, weighted_edges, greedy_triplets, substituted_texts, head_changes, term_windows, edge_windows, coreference_windows, summary_leaves,
         contexts, noun_terms, selected_terms, source_chunks, grown_nodes, valid_edges, loopless_edges, zipped_sweep, degree_histogram, degree_maps, report_rows, report_totals, mean_clustering, component_shares, path_lengths,
-        leaf_nodes, ranked_nodes, collapsed_edges, pooled_labels, alignment_extremes, promoted_edges, drawn_clusters, kmeans_clusters, top_level,
+        leaf_nodes, ranked_nodes, collapsed_edges, pooled_labels, alignment_extremes, promoted_edges, drawn_clusters, kmeans_clusters, top_level, token_relations, aggregation_parts, capped_concepts,
     )
 }
 
@@ -368,6 +393,14 @@ SQL: dict[str, str] = {
       SELECT e.graph_id, 'ce' || (row_number() OVER (PARTITION BY e.graph_id ORDER BY edge_id) - 1) AS id, a.id AS source, b.id AS target FROM clustered_edge e JOIN n a ON a.graph_id = e.graph_id AND a.node_id = source_id JOIN n b ON b.graph_id = e.graph_id AND b.node_id = target_id""",
     "drawn_clusters": """WITH s AS (SELECT *, min(cluster_size) OVER (PARTITION BY graph_id) AS low, max(cluster_size) OVER (PARTITION BY graph_id) AS high FROM clustered_node)
       SELECT node_id, round(18 + 40 * CASE WHEN high > low THEN (cluster_size - low) / (high - low)::DOUBLE ELSE 0.0 END::DOUBLE, 6) AS radius, (1 + least(0.5::DOUBLE * cluster_size, 4.0::DOUBLE)) AS width FROM s""",
+    "token_relations": "SELECT triplet_id, subject, relation, object FROM raw_triplet WHERE subject IS NOT NULL AND object IS NOT NULL",
+    "aggregation_parts": """WITH RECURSIVE c AS (SELECT graph_id, (row_number() OVER (PARTITION BY graph_id ORDER BY chunk_id) - 1) AS no, length(coalesce(text, '')) AS size FROM chunk),
+      g AS (SELECT graph_id, no // 8 AS part, list(size ORDER BY no) AS sizes FROM c GROUP BY 1, 2),
+      s AS (SELECT graph_id, part, sizes, 0 AS a, len(sizes)::INT AS b FROM g UNION ALL
+        SELECT graph_id, part, sizes, CASE WHEN h = 0 THEN a ELSE a + (b - a) // 2 END::INT, CASE WHEN h = 0 THEN a + (b - a) // 2 ELSE b END::INT FROM s, (VALUES (0), (1)) AS v(h) WHERE b - a > 2 AND list_sum(sizes[a + 1:b]) > 1500)
+      SELECT graph_id, part, string_agg(a || '-' || b, ',' ORDER BY a) AS cut FROM s WHERE NOT (b - a > 2 AND list_sum(sizes[a + 1:b]) > 1500) GROUP BY 1, 2""",
+    "capped_concepts": """WITH r AS (SELECT graph_id, label, node_id % 3 AS k, node_id, row_number() OVER (PARTITION BY graph_id, lower(trim(label, ' ')) ORDER BY node_id % 3, node_id) AS first FROM raw_node WHERE trim(label, ' ') != '')
+      SELECT graph_id, label, place FROM (SELECT graph_id, label, row_number() OVER (PARTITION BY graph_id ORDER BY k, node_id) AS place FROM r WHERE first = 1) WHERE place <= 30""",
     "top_level": """WITH RECURSIVE l AS (SELECT graph_id, 0 AS level, count(*) AS n FROM raw_node GROUP BY 1 UNION ALL SELECT graph_id, level + 1, ceil(n / 4)::BIGINT FROM l WHERE n > 20 AND level < 9)
       SELECT graph_id, max(level) AS level, arg_max(n, level) AS tops, CASE WHEN arg_max(n, level) = 1 THEN 'L' || max(level) || 'N0' ELSE 'root' END AS root FROM l GROUP BY 1""",
 }
