@@ -13,12 +13,14 @@ normalised; strings of special tokens are ordinary text.
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,11 +149,22 @@ def automaton(path: str = VOCAB) -> Automaton:
     return Automaton(ids, [(to_bytes(a), to_bytes(b)) for a, b in pairs])
 
 
+def sent(docs: DataFrame, path: str) -> str:
+    """The name under which the tasks find a vocabulary file of the driver; it is sent once a session."""
+    sc = docs.sparkSession.sparkContext
+    known = sc.__dict__.setdefault("_textloom_files", set())
+    if path not in known:
+        sc.addFile(path)
+        known.add(path)
+    return os.path.basename(path)
+
+
 def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCAB) -> DataFrame:
     """(id_col, ids array<int>) for every row; a narrow pass without a shuffle."""
+    name = sent(docs, path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(path)
+        machine = automaton(SparkFiles.get(name))
         for batch in batches:
             flat, ends = array("i"), array("i", [0])
             for text in batch.column(1).to_pylist():
@@ -175,9 +188,11 @@ def count_tokens(docs: DataFrame, id_col: str, text_col: str, path: str = VOCAB)
 def decode_corpus(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str = VOCAB) -> DataFrame:
     """(id_col, text): the texts that the ids spell. A null list gives a null text."""
 
+    name = sent(coded, path)
+
     @F.pandas_udf("string")
     def decode(ids):
-        machine = automaton(path)
+        machine = automaton(SparkFiles.get(name))
         return ids.map(lambda x: None if x is None else machine.decode(list(x)))
 
     return coded.select(id_col, decode(ids_col).alias("text"))
