@@ -41,8 +41,8 @@ def test_salience(spark):
 
 
 def test_antecedent_ties_take_the_earliest(spark):
-    mentions = spark.createDataFrame([(1, 0, 0, "Alice", "nsubj", "PROPN"), (1, 1, 0, "Bob", "nsubj", "PROPN")], "g int, token int, sent int, text string, dep string, pos string")
-    pronouns = spark.createDataFrame([(1, 5, 1), (2, 1, 0)], "g int, token int, sent int")
+    mentions = spark.createDataFrame([(1, 0, 0, "Alice", "nsubj", "PROPN", "unknown", "sing"), (1, 1, 0, "Bob", "nsubj", "PROPN", "unknown", "sing")], "g int, token int, sent int, text string, dep string, pos string, gender string, number string")
+    pronouns = spark.createDataFrame([(1, 5, 1, "she"), (2, 1, 0, "she")], "g int, token int, sent int, word string")
     assert rows(hierarchy.antecedents(pronouns, mentions, "g"), "g", "antecedent", "score") == [(1, "Alice", 185), (2, None, -1)]
 
 
