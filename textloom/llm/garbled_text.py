@@ -101,10 +101,12 @@ def chains() -> list[tuple[str, Garbler]]:
     return out
 
 
-def garbled_forms(token: str) -> dict[str, str]:
-    """Garbled form -> name of the chain that made it."""
+def garbled_forms(token: str, starts: frozenset[str] | None = None) -> dict[str, str]:
+    """Garbled form -> name of the chain that made it; of `starts`, if given, only forms that begin with one."""
     forms: dict[str, str] = {}
     for name, garbler in chains():
+        if starts is not None and token and garbler[ord(token[0])][:1] not in starts:
+            continue
         form = token.translate(garbler)
         if BAD not in form:
             forms.setdefault(form, name)
@@ -125,8 +127,8 @@ def filter_places(text: str) -> tuple[int, int, int]:
     return h % FILTER_BITS, (h >> 20) % FILTER_BITS, (h >> 40) % FILTER_BITS
 
 
-def bloom_filter(texts: DataFrame) -> np.ndarray:
-    """The Bloom filter of a one-column table: each task fills one of its own, these are joined bit by bit, FILTER_BITS in all."""
+def bloom_filter(texts: DataFrame) -> tuple[np.ndarray, frozenset[str]]:
+    """The Bloom filter of a one-column table, and the characters its texts begin with: each task fills a filter of its own, these are joined bit by bit, FILTER_BITS in all."""
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.zeros(FILTER_BITS, bool)
@@ -141,18 +143,19 @@ def bloom_filter(texts: DataFrame) -> np.ndarray:
     words = np.zeros(FILTER_BITS // 64, np.int64)
     for r in parts.collect():  # at most FILTER_BITS / 64 numbers
         words[r["at"]] = r["word"]
-    return words
+    starts = texts.toDF("text").select(F.substring("text", 1, 1).alias("c")).distinct().collect()  # no more than there are characters
+    return words, frozenset(r["c"] for r in starts)
 
 
-def rows_of_forms(lengths: tuple[int, ...] | None, wanted: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def rows_of_forms(lengths: tuple[int, ...] | None, wanted: tuple[np.ndarray, frozenset[str]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Forms of tokens as rows, those that the filter lets through; only of the given lengths, if any are given."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.unpackbits(wanted.view(np.uint8), bitorder="little").astype(bool)
+        bits = np.unpackbits(wanted[0].view(np.uint8), bitorder="little").astype(bool)
         for batch in batches:
             rows = []
             for token, n in zip(batch["token"], batch["n"], strict=True):
-                for form, chain in garbled_forms(token).items():
+                for form, chain in garbled_forms(token, wanted[1]).items():
                     if lengths and len(form) not in lengths or form.isascii() and form.strip("?"):
                         continue
                     a, b, c = filter_places(form)
@@ -200,7 +203,7 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "token")
 
 
-def form_table(clean: DataFrame, wanted: np.ndarray) -> DataFrame:
+def form_table(clean: DataFrame, wanted: tuple[np.ndarray, frozenset[str]]) -> DataFrame:
     """(form, original, n, chain): one row for each garbled form that the filter lets through; forms that are clean tokens are left out."""
     forms = spread(clean).mapInPandas(rows_of_forms(None, wanted), "form string, original string, n bigint, chain string")
     forms = forms.join(clean.select(F.col("token").alias("form")), "form", "left_anti")
