@@ -156,7 +156,7 @@ def file_audit(spark: SparkSession, d: str) -> DataFrame:
 
 def config_fields(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("config_summary")
-    return table(spark, d, "raw_graph").select("graph_id", pages.config_field(c, "llm_model", "RuleBased").alias("model"), pages.config_field(c, "normalization", "off").alias("normalization"), pages.config_field(c, "resolver", "LapinLiass").alias("resolver"))
+    return table(spark, d, "raw_graph").select("graph_id", pages.config_field(c, "llm_model", "rules").alias("model"), pages.config_field(c, "normalization", "off").alias("normalization"), pages.config_field(c, "resolver", "salience").alias("resolver"))
 
 
 def form_criteria(spark: SparkSession, d: str) -> DataFrame:
@@ -351,7 +351,7 @@ SQL: dict[str, str] = {
       SELECT e.stage, count(*) AS calls, sum(k)::BIGINT AS input_tokens, sum(k * 2 + 1)::BIGINT AS output_tokens, count(error) AS failures, coalesce(any_value(errors), '') AS errors FROM e LEFT JOIN x ON x.stage = e.stage GROUP BY 1""",
     "file_audit": """WITH s AS (SELECT length(coalesce(text, '')) AS size, CASE WHEN doc_id % 3 = 0 OR doc_id % 11 = 0 THEN 'fail' WHEN doc_id % 5 = 0 THEN 'ok_no_eof' WHEN length(coalesce(text, '')) <= 40 THEN 'ok_no_text' ELSE 'ok_clean' END AS state FROM documents)
       SELECT state, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM s), 2) AS percent, round(avg(size), 2) AS mean_size FROM s GROUP BY 1""",
-    "config_fields": "SELECT graph_id, coalesce(config_summary->>'$.llm_model', 'RuleBased') AS model, coalesce(config_summary->>'$.normalization', 'off') AS normalization, 'LapinLiass' AS resolver FROM raw_graph",
+    "config_fields": "SELECT graph_id, coalesce(config_summary->>'$.llm_model', 'rules') AS model, coalesce(config_summary->>'$.normalization', 'off') AS normalization, 'salience' AS resolver FROM raw_graph",
     "form_criteria": """WITH k AS (SELECT *, list_filter(list_transform(string_split(subject, ','), lambda x: trim(x, ' ')), lambda x: x != '') AS ks FROM raw_triplet WHERE subject IS NOT NULL)
       SELECT triplet_id, array_to_string(ks, '|') AS keywords, len(ks)::INT AS n, nullif(trim(relation, ' '), '') AS query, (CASE WHEN triplet_id % 2 = 0 THEN coalesce(graph_id, 200) ELSE 200 END)::INT AS max_results FROM k""",
     "stepped_files": f"""WITH r AS (SELECT source_name, CASE WHEN status = 20 THEN 5 ELSE status END AS s FROM {_PDF}), m AS (SELECT source_name, s, s = 5 AND length(source_name) > 7 AS moved FROM r)
