@@ -346,3 +346,19 @@ def test_lossy_originals_are_not_called_whole(spark):
     empty = spark.createDataFrame([], "sentence_id bigint, origin string, text string")
     got = {r["rec_id"]: r["whole"] for r in garbled_text.restored(chunk, empty).collect()}
     assert got == {20: False, 21: True}
+
+
+def test_urls_in_hundreds_of_batches(spark):
+    rows = spark.createDataFrame([(k, f"https://a.example/pdf/2101.{10000 + k % 1000}", k) for k in range(1200)] + [(5000, "https://a.example/pdf/2101.10007", None)], "id bigint, pdf_url string, batch_no bigint")
+    assert found_urls(rows, deliveries=3) == {(k, k + 1000) for k in range(200)} | {(7, 5000)}
+
+
+def test_large_batches_meet_the_same_history(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, u, i % 3) for i, u in URLS], "id bigint, pdf_url string, batch_no bigint")
+    want = found_urls(rows)
+    monkeypatch.setattr(url_index, "SENT_ROWS", 0)
+    monkeypatch.setattr(url_index, "BUCKET_ROWS", 3)
+    assert found_urls(rows) == want == {(1, 2), (4, 5), (7, 8)}
+    monkeypatch.setattr(url_index, "SENT_TEXTS", 0)
+    monkeypatch.setattr(url_index, "BATCH_MEETS", 0)
+    assert found_urls(rows) == want

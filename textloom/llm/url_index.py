@@ -44,6 +44,9 @@ THIRDS = ((0, 11), (11, 22), (22, DIM))
 RANGE = 9  # width of a cell in each sum; a probe opens at most two ranges of each
 BUCKET_ROWS = 250_000
 SENT_ROWS = 200_000  # a batch with no more probes is sent to the index's tasks; a larger one is joined by cell
+BATCH_MEETS = 20  # a batch of so many texts for each bucket meets nearly all buckets, so it reads them without asking which
+SENT_TEXTS = 400_000  # a batch of no more texts sends its cells to the index's tasks, and only what these hold is moved
+DELIVERIES = 64  # a table of more batches is given in so many groups of batches, in order
 
 LEAD = re.compile(r"^[\s\"'<(\[]*(?:url=)?[\s\"'<(\[]*", re.I)
 SCHEMES = re.compile(r"^(?:https?:/+)+", re.I)
@@ -200,11 +203,14 @@ class UrlIndex:
     def take(self, texts: DataFrame, n: int | None = None) -> None:
         """Find the documents of one batch of `n` distinct texts and append these."""
         probes = in_cells(texts, SLIPS)
-        small = (texts.count() if n is None else n) * 2 ** len(THIRDS) <= SENT_ROWS
+        n = texts.count() if n is None else n
+        small = n * 2 ** len(THIRDS) <= SENT_ROWS
         held = in_cells(texts, 0).select("cell", "exact", "title", "vec", F.col("id").alias("other"), F.lit(False).alias("old"))
         if self.taken:
             known = self.texts().where("fresh")
-            if self.buckets > 1:
+            if not small and n <= SENT_TEXTS:
+                known = known.join(F.broadcast(probes.select("cell").distinct()), "cell", "left_semi")
+            if self.buckets > 1 and n < self.buckets * BATCH_MEETS:
                 asked = [r[0] for r in probes.select(self.bucket()).distinct().collect()]  # at most `buckets` numbers
                 known = known.where(F.col("bucket").isin(asked))
             held = held.unionByName(self.resolved(known, "other").select("cell", "exact", "title", "vec", "other", F.lit(True).alias("old")))
@@ -243,15 +249,14 @@ class UrlIndex:
 
 
 def found(rows: DataFrame, deliveries: int | None = None) -> DataFrame:
-    """(id_a, id_b) over a whole table; each batch is given to a new index by itself, or `deliveries` groups of batches in order."""
+    """(id_a, id_b) over a whole table; each batch is given to a new index by itself, or at most `deliveries` groups of batches in order."""
     named = items(rows)
     order = [r[0] for r in rows.select(F.col("batch_no").cast("bigint")).distinct().collect()]  # a number for each batch
     order = sorted(n for n in order if n is not None) + [n for n in order if n is None]
-    width = 1 if deliveries is None else max(1, -(-len(order) // deliveries))
-    place = F.lit(None).cast("bigint")
-    for at, n in enumerate(order):
-        place = F.when(F.col("batch_no").eqNullSafe(F.lit(n)), F.lit(at // width).cast("bigint")).otherwise(place)
-    parsed = materialize(named.withColumn("batch_no", place), "url-items")
+    width = max(1, -(-len(order) // (deliveries or DELIVERIES)))
+    places = rows.sparkSession.createDataFrame([(n, at // width) for at, n in enumerate(order)], "b bigint, place bigint")
+    placed = named.join(F.broadcast(places), F.col("batch_no").eqNullSafe(F.col("b"))).withColumn("batch_no", F.col("place")).drop("b", "place")
+    parsed = materialize(placed, "url-items")
     texts = materialize(texts_of(parsed).repartition("batch_no"), "url-texts", ["batch_no"])
     index = UrlIndex(rows.sparkSession, buckets=1 + parsed.count() // BUCKET_ROWS)
     sizes = {r["batch_no"]: r["n"] for r in texts.groupBy("batch_no").agg(F.count("*").alias("n")).collect()}  # a row for each delivery
