@@ -362,3 +362,22 @@ def test_large_batches_meet_the_same_history(spark, monkeypatch):
     monkeypatch.setattr(url_index, "SENT_TEXTS", 0)
     monkeypatch.setattr(url_index, "BATCH_MEETS", 0)
     assert found_urls(rows) == want
+
+
+def test_vectors_of_many_shards_and_blocks_are_not_copied(spark):
+    rng = np.random.default_rng(6)
+    v = (np.repeat(rng.normal(size=(60, 96)), 20, axis=0) + 0.3 * rng.normal(size=(1200, 96))).astype(np.float32)
+    df = spark.createDataFrame([(i, v[i].tolist()) for i in range(1200)], "id bigint, vec array<float>").select(F.lit("x").alias("src"), "id", "vec")
+
+    def written():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(k).length() for k in range(files.size()))
+
+    before = written()
+    got = {(r["id"], r["near_id"]) for r in vector_graph.similar_vectors(df, shard_rows=100, block_rows=20).collect()}
+    assert written() - before < 10 * v.nbytes
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    s = np.round(u @ u.T, 6)
+    np.fill_diagonal(s, -9)
+    want = {(i, int(j)) for i in range(1200) for j in np.argsort(-s[i], kind="stable")[:5] if s[i, j] >= 0.7}
+    assert len(got & want) >= 0.98 * len(want) and len(got & want) >= 0.98 * len(got)
